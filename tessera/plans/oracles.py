@@ -73,3 +73,78 @@ from projects_v p left join (
 
 ORACLES["line_total"] = with_(RESOURCES_V) + """
 select id, seq, description, round(price * quantity, 6) as total_price from resources_v"""
+
+NOT_SPACE_OR_WORD = (r"[^\p{L}\p{M}\p{N}\p{Pc}\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+                     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+ESSAYS = TEXT_COLS[1:5]
+
+ORACLES["calendar_labels"] = with_(PROJECTS_V) + """
+select id, strftime(project_submitted_datetime, '%b_%Y') as monthofyear,
+       dayname(project_submitted_datetime) as dayofweek from projects_v"""
+
+ORACLES["clean_text"] = with_(ESSAYS_V) + "select id, " + ", ".join(
+    f"{clean(c)} as {c}" for c in TEXT_COLS) + " from essays_v"
+
+CLEANED = "cleaned as (select id, project_is_approved, " + ", ".join(
+    f"{clean(c)} as {c}" for c in TEXT_COLS) + " from essays_v)"
+
+ORACLES["concat_text"] = with_(ESSAYS_V, CLEANED) + """
+select id, concat_ws('. ', project_essay_1, project_essay_2, project_essay_3, project_essay_4) as all_essays,
+       concat_ws('. ', project_title,
+                 concat_ws('. ', project_essay_1, project_essay_2, project_essay_3, project_essay_4),
+                 project_resource_summary, description) as all_text
+from cleaned"""
+
+ORACLES["concat_raw"] = with_(ESSAYS_V) + "select id, " + " || ".join(
+    f"coalesce({c}, 'nan')" for c in ["lang", "source", "project_title", "project_resource_summary", *ESSAYS]
+) + " as project_desc from essays_v"
+
+
+def sent_len(c: str) -> str:
+    t = f"coalesce({c}, '')"
+    return (f"(len(regexp_extract_all({t}, '[.!?]+([ \\t\\n\\f\\r]|\\z)')) + "
+            f"case when not regexp_matches(rtrim({t}), '[.!?]\\z') and regexp_matches({t}, '{W}') "
+            f"then 1 else 0 end)")
+
+
+ORACLES["sentence_count"] = with_(ESSAYS_V) + "select id, " + ", ".join(
+    f"{sent_len(c)} as {c}_sent_len" for c in ESSAYS) + " from essays_v"
+
+ORACLES["word_count"] = with_(ESSAYS_V) + "select id, " + ", ".join(
+    f"len(regexp_extract_all(coalesce({c}, ''), '{W}+|{NOT_SPACE_OR_WORD}')) as {c}_word_len"
+    for c in ESSAYS) + " from essays_v"
+
+ORACLES["null_fill"] = with_(ESSAYS_V) + "select id, " + ", ".join(
+    f"coalesce({c}, '') as {c}" for c in TEXT_COLS) + " from essays_v"
+
+ORACLES["null_literal"] = with_(ESSAYS_V) + """
+select id, coalesce(project_essay_3, 'nan') as project_essay_3, coalesce(description, 'nan') as description
+from essays_v"""
+
+ORACLES["numeric_coerce"] = with_(ESSAYS_V) + """
+select id, cast(n_chars as double) as n_chars, try_cast(project_title as double) as title_num from essays_v"""
+
+ORACLES["split_by_presence"] = with_(ESSAYS_V) + """
+select id, project_is_approved,
+       case when project_essay_3 is not null and project_essay_3 <> '' then 'present' else 'absent' end as part
+from essays_v"""
+
+ORACLES["feature_select"] = with_(RESOURCES_V, PROJECTS_V) + """
+select p.id, p.project_is_approved, r.total_price, r.max_price, r.quantity,
+       coalesce(p.teacher_prefix, 'Teacher') as teacher_prefix, p.school_state, p.project_grade_category,
+       p.project_subject_categories, dayname(p.project_submitted_datetime) as dayofweek,
+       strftime(p.project_submitted_datetime, '%b_%Y') as monthofyear, r.description
+from projects_v p left join (
+  select id, string_agg(coalesce(cast(description as varchar), 'nan'), chr(10) order by seq, description) as description,
+         round(sum(price * quantity), 2) as total_price, max(price) as max_price, sum(quantity) as quantity
+  from resources_v group by id) r on p.id = r.id"""
+
+ORACLES["nan_safe_sigmoid"] = with_(SCORES_V) + """
+select model, id, round(1.0 / (1.0 + exp(-(case when isnan((score - 0.5) * 10.0) then 0.0
+                                           else (score - 0.5) * 10.0 end))), 6) as prob
+from scores_v"""
+
+ORACLES["strip_accents"] = "select doc_id, strip_accents(text) as text from documents"
+
+ORACLES["path_label"] = """
+select page_id, lower(regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1)) as label from pages"""

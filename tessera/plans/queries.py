@@ -49,3 +49,112 @@ def q_project_enrich(spark, sf):
     return df.select("id", "teacher_prefix", "school_state", "project_grade_category",
                      "project_subject_categories", "project_is_approved", "description", "total_price",
                      r6("mean_price"), "quantity")
+
+
+# ---------------------------------------------------------------- scalars (#6, 9-15, 17-18, 44-50, 62)
+
+from tessera.config import Flags, feature_set  # noqa: E402
+from tessera.functions import calendar as cal  # noqa: E402
+from tessera.functions import nulls  # noqa: E402
+from tessera.functions import text as tx  # noqa: E402
+from tessera.operators import assemble  # noqa: E402
+
+ESSAYS = ["project_essay_1", "project_essay_2", "project_essay_3", "project_essay_4"]
+
+
+@query("calendar_labels")
+def q_calendar_labels(spark, sf):
+    p = T.projects_v(spark, sf).select("id", "project_submitted_datetime")
+    return cal.calendar_labels(p, "project_submitted_datetime", drop=True)
+
+
+@query("clean_text")
+def q_clean_text(spark, sf):
+    e = T.essays_v(spark, sf)
+    return e.select("id", *[tx.clean_text(c).alias(c) for c in T.TEXT_COLS])
+
+
+def cleaned_essays(spark, sf):
+    e = T.essays_v(spark, sf)
+    return e.select("id", "project_is_approved", *[tx.clean_text(c).alias(c) for c in T.TEXT_COLS])
+
+
+@query("concat_text")
+def q_concat_text(spark, sf):
+    e = cleaned_essays(spark, sf).withColumn("all_essays", tx.concat_text(ESSAYS))
+    return e.select("id", "all_essays", tx.concat_text(["project_title", "all_essays", "project_resource_summary",
+                                                        "description"]).alias("all_text"))
+
+
+@query("concat_raw")
+def q_concat_raw(spark, sf):
+    e = T.essays_v(spark, sf)
+    return e.select("id", tx.concat_raw(["lang", "source", "project_title", "project_resource_summary",
+                                         *ESSAYS]).alias("project_desc"))
+
+
+@query("sentence_count")
+def q_sentence_count(spark, sf):
+    e = T.essays_v(spark, sf)
+    return e.select("id", *[tx.sentence_count(c).alias(f"{c}_sent_len") for c in ESSAYS])
+
+
+@query("word_count")
+def q_word_count(spark, sf):
+    e = T.essays_v(spark, sf)
+    return e.select("id", *[tx.word_count(c).alias(f"{c}_word_len") for c in ESSAYS])
+
+
+@query("null_fill")
+def q_null_fill(spark, sf):
+    e = T.essays_v(spark, sf).select("id", *T.TEXT_COLS)
+    return nulls.null_fill(e, {c: "" for c in T.TEXT_COLS})
+
+
+@query("null_literal")
+def q_null_literal(spark, sf):
+    e = T.essays_v(spark, sf).select("id", "project_essay_3", "description")
+    return nulls.null_literal(e, ["project_essay_3", "description"])
+
+
+@query("numeric_coerce")
+def q_numeric_coerce(spark, sf):
+    e = T.essays_v(spark, sf).select("id", "n_chars", F.col("project_title").alias("title_num"))
+    e = nulls.numeric_coerce(e, ["n_chars"], strict=True)
+    return nulls.numeric_coerce(e, ["title_num"], strict=False)
+
+
+@query("split_by_presence")
+def q_split_by_presence(spark, sf):
+    e = T.essays_v(spark, sf).select("id", "project_is_approved", "project_essay_3")
+    present, absent = assemble.split_by_presence(e, "project_essay_3")
+    return (present.select("id", "project_is_approved", F.lit("present").alias("part"))
+            .unionByName(absent.select("id", "project_is_approved", F.lit("absent").alias("part"))))
+
+
+@query("feature_select")
+def q_feature_select(spark, sf):
+    p = cal.calendar_labels(T.projects_v(spark, sf), "project_submitted_datetime", drop=True)
+    df = rollup.project_enrich(p.drop("teacher_id"), rollup.resource_rollup(T.resources_v(spark, sf)))
+    df = nulls.null_fill(df, {"teacher_prefix": "Teacher"})
+    fs = feature_set(Flags(max_price=True))
+    return assemble.feature_select(df, fs, target="project_is_approved")
+
+
+@query("nan_safe_sigmoid")
+def q_nan_safe_sigmoid(spark, sf):
+    s = T.scores_v(spark, sf).withColumn("margin", (F.col("score") - 0.5) * 10.0)
+    s = nulls.nan_safe_sigmoid(s, "margin", out="prob")
+    return s.select("model", "id", r6("prob"))
+
+
+@query("strip_accents")
+def q_strip_accents(spark, sf):
+    d = T.table(spark, sf, "documents")
+    return d.select("doc_id", tx.strip_accents("text").alias("text"))
+
+
+@query("path_label")
+def q_path_label(spark, sf):
+    p = T.table(spark, sf, "pages")
+    return p.select("page_id", tx.url_first_segment("url").alias("label"))
