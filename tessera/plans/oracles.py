@@ -148,3 +148,51 @@ ORACLES["strip_accents"] = "select doc_id, strip_accents(text) as text from docu
 
 ORACLES["path_label"] = """
 select page_id, lower(regexp_extract(url, '^https?://[^/]+/([^/?#]+)', 1)) as label from pages"""
+
+LONG_TEXT = "long_text as (" + " union all ".join(
+    f"select id, '{c}' as field, {c} as text from cleaned" for c in TEXT_COLS) + ")"
+TOKS = "toks as (select id, field, token from (select id, field, unnest(string_split(text, ' ')) as token " \
+       "from long_text) where token <> '')"
+LEXICON_V = """lexicon_v as (select token, length(token) % 8 as class,
+  (length(token) % 5 - 2) / 2.0 as polarity, (length(token) % 3) / 2.0 as subjectivity
+  from (select distinct token from toks))"""
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _keywords_sql() -> str:
+    from tessera.operators.lexicon import REFERENCE_KEYWORDS, TEST_CORPUS_KEYWORDS
+    return ", ".join(_sql_str(k) for k in REFERENCE_KEYWORDS + TEST_CORPUS_KEYWORDS)
+
+
+ORACLES["keyword_counts"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS) + f"""
+select id, field, token as keyword, count(*) as count from toks
+where token in ({_keywords_sql()}) group by id, field, token"""
+
+ORACLES["token_class_counts"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, LEXICON_V) + """
+select t.id, t.field, cast(l.class as varchar) as class, count(*) as count
+from toks t join lexicon_v l on t.token = l.token group by t.id, t.field, l.class"""
+
+def half_up(x: str, digits: int) -> str:
+    """Round half up on the shortest decimal form of a double (the engine's rounding rule; Python's
+    round works on the binary value and goes down on e.g. 0.285)."""
+    return f"cast(round(cast(cast({x} as varchar) as decimal(38, 12)), {digits}) as double)"
+
+
+ORACLES["lexicon_score"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, LEXICON_V) + f"""
+select e.id, {half_up('coalesce(s.polarity, 0)', 2)} as polarity,
+       {half_up('coalesce(s.subjectivity, 0)', 2)} as subjectivity
+from essays_v e left join (
+  select t.id, avg(l.polarity) as polarity, avg(l.subjectivity) as subjectivity
+  from toks t join lexicon_v l on t.token = l.token
+  where t.field in ('project_essay_1', 'project_essay_2', 'project_essay_3', 'project_essay_4')
+  group by t.id) s on e.id = s.id"""
+
+_NONWORD = r"[^\p{L}\p{M}\p{N}\p{Pc}]"
+_pairs = [(a, b) for i, a in enumerate(TEXT_COLS[:-1]) for b in TEXT_COLS[i + 1:]]
+ORACLES["pairwise_overlap"] = with_(ESSAYS_V, CLEANED) + "select id, " + ", ".join(
+    f"len(list_distinct(list_filter(string_split_regex({a}, '{_NONWORD}'), "
+    f"lambda x: list_contains(string_split_regex({b}, '{_NONWORD}'), x)))) as {a}_{b}_common"
+    for a, b in _pairs) + " from cleaned"

@@ -158,3 +158,29 @@ def q_strip_accents(spark, sf):
 def q_path_label(spark, sf):
     p = T.table(spark, sf, "pages")
     return p.select("page_id", tx.url_first_segment("url").alias("label"))
+
+
+# ---------------------------------------------------------------- token relations (#43, 51-53)
+
+from tessera.operators import lexicon as lx  # noqa: E402
+
+
+@query("keyword_counts")
+def q_keyword_counts(spark, sf):
+    e = T.essays_v(spark, sf)
+    return lx.keyword_counts(e, T.TEXT_COLS, lx.REFERENCE_KEYWORDS + lx.TEST_CORPUS_KEYWORDS)
+
+
+@query("token_class_counts")
+def q_token_class_counts(spark, sf):
+    return lx.token_class_counts(T.corpus_tokens(spark, sf), T.lexicon_v(spark, sf))
+
+
+@query("lexicon_score")
+def q_lexicon_score(spark, sf):
+    return lx.lexicon_score(T.essays_v(spark, sf), ESSAYS, T.lexicon_v(spark, sf))
+
+
+@query("pairwise_overlap")
+def q_pairwise_overlap(spark, sf):
+    return lx.pairwise_overlap(cleaned_essays(spark, sf), T.TEXT_COLS)

@@ -69,3 +69,17 @@ def scores_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                   (((F.col("doc_id") * 104729 + F.col("n_chars")) % 997) / F.lit(997.0)).cast("double")
                   .alias("score"))
     return m1.unionByName(m2).unionByName(m3)
+
+
+def corpus_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, field, pos, token)`` over the seven text columns of ``essays_v`` (cleaned tokens)."""
+    from tessera.operators.lexicon import tokens
+    return tokens(essays_v(spark, sf_dir), TEXT_COLS)
+
+
+def lexicon_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test lexicon: every distinct corpus token with a class and two scores derived from its length."""
+    toks = corpus_tokens(spark, sf_dir).select("token").distinct()
+    n = F.length("token")
+    return toks.select("token", (n % 8).alias("class"), ((n % 5 - 2) / F.lit(2.0)).alias("polarity"),
+                       ((n % 3) / F.lit(2.0)).alias("subjectivity"))
