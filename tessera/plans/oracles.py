@@ -196,3 +196,80 @@ ORACLES["pairwise_overlap"] = with_(ESSAYS_V, CLEANED) + "select id, " + ", ".jo
     f"len(list_distinct(list_filter(string_split_regex({a}, '{_NONWORD}'), "
     f"lambda x: list_contains(string_split_regex({b}, '{_NONWORD}'), x)))) as {a}_{b}_common"
     for a, b in _pairs) + " from cleaned"
+
+PROJECT_CATS = ["teacher_prefix", "school_state", "project_grade_category", "project_subject_categories",
+                "dayofweek", "monthofyear"]
+PROJECTS_CAL = """projects_cal as (select *, dayname(project_submitted_datetime) as dayofweek,
+  strftime(project_submitted_datetime, '%b_%Y') as monthofyear from projects_v)"""
+CAT_LONG = "cat_long as (" + " union all ".join(
+    f"select id, '{c}' as feature, cast({c} as varchar) as value from projects_cal" for c in PROJECT_CATS) + ")"
+CAT_INDEX = """cat_index as (select feature, value, row_number() over (partition by feature order by value) - 1 as index
+  from (select distinct feature, value from cat_long where value is not null))"""
+FEATURE_POS = "feature_pos as (select * from (values " + ", ".join(
+    f"('{c}', {i})" for i, c in enumerate(PROJECT_CATS)) + ") t(feature, pos))"
+
+ORACLES["category_index"] = with_(PROJECTS_V, PROJECTS_CAL, CAT_LONG, CAT_INDEX) + \
+    "select feature, value, index from cat_index"
+
+ORACLES["one_hot"] = with_(PROJECTS_V, PROJECTS_CAL, CAT_LONG, CAT_INDEX, FEATURE_POS) + """,
+sizes as (select i.feature, p.pos, count(*) as n from cat_index i join feature_pos p using (feature) group by all),
+offsets as (select feature, coalesce(sum(n) over (order by pos rows between unbounded preceding and 1 preceding), 0) as off
+            from sizes)
+select l.id, l.feature, cast(o.off + i.index as integer) as slot
+from cat_long l join cat_index i on l.feature = i.feature and l.value = i.value join offsets o on o.feature = l.feature"""
+
+ORACLES["multi_hot"] = with_(PROJECTS_V) + """,
+items as (select id, feature, unnest(list_distinct(list_transform(string_split(lower(v), ','), lambda t: trim(t)))) as value
+          from (select id, 'project_subject_categories' as feature, project_subject_categories as v from projects_v
+                union all select id, 'teacher_prefix', teacher_prefix from projects_v)),
+vocab as (select feature, value, row_number() over (partition by feature order by value) - 1 as index
+          from (select distinct feature, value from items))
+select i.id, i.feature, v.index from items i join vocab v using (feature, value)"""
+
+ORACLES["target_encode"] = with_(ESSAYS_V) + """,
+long as (select id, project_is_approved as y, 'lang' as feature, lang as value from essays_v
+         union all select id, project_is_approved, 'source', source from essays_v),
+prior as (select avg(project_is_approved) as p from essays_v where project_is_approved is not null),
+stats as (select feature, value, count(*) as n, avg(y) as m from long where y is not null and value is not null
+          group by all)
+select l.id, l.feature,
+       round(case when s.n is null or s.n = 1 then (select p from prior)
+                  else (select p from prior) * (1 - 1 / (1 + exp(-(s.n - 1)))) + s.m / (1 + exp(-(s.n - 1))) end, 6)
+       as encoded
+from long l left join stats s on l.feature = s.feature and l.value = s.value"""
+
+ORACLES["minmax_fit"] = with_(RESOURCES_V) + """,
+r as (select id, price * quantity as total_price, price, quantity from resources_v),
+g as (select id, sum(total_price) as total_price, max(price) as max_price, min(price) as min_price,
+             avg(price) as mean_price, sum(quantity) as quantity from r group by id)
+select 'total_price' as feature, round(min(total_price), 2) as min_value, round(max(total_price), 2) as max_value from g
+union all select 'max_price', min(max_price), max(max_price) from g
+union all select 'min_price', min(min_price), max(min_price) from g
+union all select 'mean_price', min(mean_price), max(mean_price) from g
+union all select 'quantity', min(quantity), max(quantity) from g"""
+
+
+def _word_len(c):
+    return f"cast(len(regexp_extract_all(coalesce({c}, ''), '{W}+|{NOT_SPACE_OR_WORD}')) as double)"
+
+
+_ESSAY_NUM = {"n_chars": "cast(n_chars as double)", **{f"{c}_word_len": _word_len(c) for c in ESSAYS}}
+ORACLES["minmax_scale"] = with_(ESSAYS_V) + ", num as (select id, project_is_approved, " + ", ".join(
+    f"{e} as {n}" for n, e in _ESSAY_NUM.items()) + " from essays_v),\n" + \
+    "b as (select " + ", ".join(f"min({n}) as {n}_lo, max({n}) as {n}_hi" for n in _ESSAY_NUM) + \
+    " from num where project_is_approved is not null)\nselect id, " + ", ".join(
+    f"round(({n} - {n}_lo) / case when {n}_hi = {n}_lo then 1 else {n}_hi - {n}_lo end, 6) as {n}"
+    for n in _ESSAY_NUM) + " from num, b"
+
+_CONT = ["total_price", "quantity", "mean_price"]
+_terms = ["1.0"] + [f"s_{c}" for c in _CONT] + [
+    f"s_{a} * s_{b}" for i, a in enumerate(_CONT) for b in _CONT[i:]]
+ORACLES["poly2"] = with_(RESOURCES_V, PROJECTS_V) + """,
+g as (select id, sum(price * quantity) as total_price, sum(quantity) as quantity, avg(price) as mean_price
+      from resources_v group by id),
+e as (select p.id, g.total_price, g.quantity, g.mean_price from projects_v p left join g on p.id = g.id),
+b as (select """ + ", ".join(f"min({c}) as {c}_lo, max({c}) as {c}_hi" for c in _CONT) + """ from e),
+s as (select id, """ + ", ".join(
+    f"({c} - {c}_lo) / case when {c}_hi = {c}_lo then 1 else {c}_hi - {c}_lo end as s_{c}" for c in _CONT) + \
+    """ from e, b)
+""" + " union all ".join(f"select id, {k} as slot, round({t}, 6) as value from s" for k, t in enumerate(_terms))

@@ -184,3 +184,76 @@ def q_lexicon_score(spark, sf):
 @query("pairwise_overlap")
 def q_pairwise_overlap(spark, sf):
     return lx.pairwise_overlap(cleaned_essays(spark, sf), T.TEXT_COLS)
+
+
+# ---------------------------------------------------------------- encoders (#27-29, 56-60)
+
+from tessera.operators import encoders as enc  # noqa: E402
+
+PROJECT_CATS = ["teacher_prefix", "school_state", "project_grade_category", "project_subject_categories",
+                "dayofweek", "monthofyear"]
+ROLLUP_CONT = ["total_price", "quantity", "mean_price"]
+
+
+def labelled_projects(spark, sf):
+    return cal.calendar_labels(T.projects_v(spark, sf), "project_submitted_datetime", drop=True)
+
+
+def enriched(spark, sf):
+    return rollup.project_enrich(T.projects_v(spark, sf), rollup.resource_rollup(T.resources_v(spark, sf)))
+
+
+@query("category_index")
+def q_category_index(spark, sf):
+    return enc.category_index(labelled_projects(spark, sf), PROJECT_CATS)
+
+
+@query("one_hot")
+def q_one_hot(spark, sf):
+    p = labelled_projects(spark, sf)
+    return enc.OneHot(PROJECT_CATS).fit(p).transform(p)
+
+
+@query("multi_hot")
+def q_multi_hot(spark, sf):
+    p = T.projects_v(spark, sf)
+    cols = ["project_subject_categories", "teacher_prefix"]
+    return enc.MultiHot(cols).fit(p).transform(p)
+
+
+@query("target_encode")
+def q_target_encode(spark, sf):
+    e = T.essays_v(spark, sf)
+    train = e.where(F.col("project_is_approved").isNotNull())
+    model = enc.TargetEncode(["lang", "source"], "project_is_approved").fit(train)
+    return model.transform(e).select("id", "feature", r6("encoded"))
+
+
+@query("minmax_fit")
+def q_minmax_fit(spark, sf):
+    return enc.minmax_bounds(enriched(spark, sf), ["total_price", "max_price", "min_price", "mean_price",
+                                                   "quantity"])
+
+
+def essay_numeric(spark, sf):
+    e = T.essays_v(spark, sf)
+    return e.select("id", "project_is_approved", F.col("n_chars").cast("double").alias("n_chars"),
+                    *[tx.word_count(c).cast("double").alias(f"{c}_word_len") for c in ESSAYS])
+
+
+ESSAY_NUM = ["n_chars"] + [f"{c}_word_len" for c in ESSAYS]
+
+
+@query("minmax_scale")
+def q_minmax_scale(spark, sf):
+    df = essay_numeric(spark, sf)
+    model = enc.MinMax(ESSAY_NUM).fit(df.where(F.col("project_is_approved").isNotNull()))
+    return model.transform(df).select("id", *[r6(c) for c in ESSAY_NUM])
+
+
+@query("poly2")
+def q_poly2(spark, sf):
+    df = enriched(spark, sf).select("id", *ROLLUP_CONT)
+    scaled = enc.MinMax(ROLLUP_CONT).fit(df).transform(df)
+    p = enc.Poly2(ROLLUP_CONT).transform(scaled)
+    return p.select("id", F.posexplode("poly").alias("slot", "value")).select("id", "slot", r6("value"))
