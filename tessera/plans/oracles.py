@@ -273,3 +273,90 @@ s as (select id, """ + ", ".join(
     f"({c} - {c}_lo) / case when {c}_hi = {c}_lo then 1 else {c}_hi - {c}_lo end as s_{c}" for c in _CONT) + \
     """ from e, b)
 """ + " union all ".join(f"select id, {k} as slot, round({t}, 6) as value from s" for k, t in enumerate(_terms))
+
+from tessera.operators.tfidf import default_stop_words  # noqa: E402
+from tessera.operators.vocab import SEQUENCE_FILTERS  # noqa: E402
+
+ALL_TEXT = """all_text_v as (select id, project_is_approved,
+  concat_ws('. ', project_title, concat_ws('. ', project_essay_1, project_essay_2, project_essay_3, project_essay_4),
+            project_resource_summary, description) as all_text from cleaned)"""
+KTOKS = ("ktoks as (select id, pos, token from (select id, unnest(t) as token, unnest(range(1, len(t) + 1)) as pos "
+         "from (select id, list_filter(string_split(translate(lower(all_text), " + _sql_str(SEQUENCE_FILTERS) + ", "
+         + _sql_str(" " * len(SEQUENCE_FILTERS)) + "), ' '), lambda x: x <> '') as t from all_text_v)))")
+KVOCAB = ("kvocab as (select token, count(*) as count, row_number() over (order by count(*) desc, token) as rank "
+          "from ktoks group by token)")
+KSEQ = ("kseq as (select a.id, coalesce(string_agg(cast(v.rank as varchar), ' ' order by k.pos), '') as seq, "
+        "list(v.rank order by k.pos) filter (where v.rank is not null) as l "
+        "from all_text_v a left join ktoks k on a.id = k.id left join kvocab v on k.token = v.token "
+        "and v.rank < 100000 group by a.id)")
+WV = ("wv as (select t.token as word, e.embedding as vec from (select token, row_number() over "
+      "(order by count(*) desc, token) as rank from toks group by token) t join embeddings e on e.vec_id = t.rank - 1)")
+
+
+def vec_text(x: str) -> str:
+    return f"array_to_string(list_transform({x}, lambda v: printf('%.6f', cast(v as double))), ' ')"
+
+
+TEXT_BASE = (ESSAYS_V, CLEANED, ALL_TEXT)
+
+ORACLES["token_vocab"] = with_(*TEXT_BASE, KTOKS, KVOCAB) + "select token, count, rank from kvocab"
+
+ORACLES["token_sequences"] = with_(*TEXT_BASE, KTOKS, KVOCAB, KSEQ) + "select id, seq from kseq"
+
+ORACLES["pad_sequences"] = with_(*TEXT_BASE, KTOKS, KVOCAB, KSEQ) + """,
+tail as (select id, case when len(coalesce(l, [])) > 300 then l[len(l) - 299:] else coalesce(l, []) end as t from kseq)
+select id, array_to_string(list_concat(list_transform(range(300 - len(t)), lambda x: 0), t), ' ') as seq from tail"""
+
+EMB_MATRIX = ("ematrix as (select 0 as row, null as token, list_transform(range(64), lambda x: cast(0 as float)) as vec "
+              "union all select v.rank as row, v.token, coalesce(w.vec, list_transform(range(64), lambda x: cast(0 as float))) "
+              "from kvocab v left join wv w on w.word = v.token where v.rank < 100000)")
+
+ORACLES["embedding_matrix"] = with_(*TEXT_BASE, LONG_TEXT, TOKS, KTOKS, KVOCAB, WV, EMB_MATRIX) + \
+    f"select row, token, {vec_text('vec')} as vec from ematrix"
+
+ORACLES["doc_vectors"] = with_(*TEXT_BASE, LONG_TEXT, TOKS, KTOKS, KVOCAB, WV, EMB_MATRIX) + """,
+seqtok as (select k.id, v.rank from ktoks k join kvocab v on k.token = v.token where v.rank < 100000),
+n as (select id, count(*) as n from seqtok group by id),
+dims as (select s.id, d.dim, sum(m.vec[d.dim + 1]) as s from seqtok s join ematrix m on m.row = s.rank
+         cross join (select unnest(range(64)) as dim) d group by s.id, d.dim)
+select dims.id, dims.dim, round(dims.s / n.n, 6) as value from dims join n on dims.id = n.id"""
+
+ORACLES["vec_text_scan"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, WV) + \
+    f"select word, {vec_text('vec')} as vec from wv"
+
+ORACLES["embedding_scan"] = f"select vec_id, label, {vec_text('embedding')} as vec from embeddings"
+
+STOP_SQL = "[" + ", ".join(_sql_str(w) for w in default_stop_words()) + "]"
+ATOKS = (f"atoks as (select id, project_is_approved, list_filter(regexp_extract_all(strip_accents(lower(all_text)), "
+         f"'{W}+'), lambda t: not list_contains({STOP_SQL}, t)) as t from all_text_v)")
+
+
+def grams(n_max: int) -> str:
+    parts = [f"list_transform(range(1, len(t) + {2 - n}), lambda i: array_to_string(t[i:i + {n - 1}], ' '))"
+             for n in range(1, n_max + 1)]
+    return f"list_concat({', '.join(parts)})" if len(parts) > 1 else parts[0]
+
+
+def tf_cte(name: str, n_max: int, where: str = "true") -> str:
+    return (f"{name} as (select id, term, count(*) as tf from (select id, unnest({grams(n_max)}) as term "
+            f"from atoks where {where}) group by id, term)")
+
+
+ORACLES["stopword_ngrams"] = with_(*TEXT_BASE, ATOKS, tf_cte("tf2", 2)) + "select id, term, tf from tf2"
+
+ORACLES["term_stats"] = with_(*TEXT_BASE, ATOKS, tf_cte("tf2", 2)) + \
+    "select term, count(*) as df, sum(tf) as ttf from tf2 group by term"
+
+ORACLES["top_terms"] = with_(*TEXT_BASE, ATOKS, tf_cte("tf3", 3)) + """
+select term, df, ttf from (select term, count(*) as df, sum(tf) as ttf from tf3 group by term)
+where df >= 5 and df <= 0.9 * (select count(*) from all_text_v)
+order by ttf desc, term limit 400"""
+
+ORACLES["tfidf"] = with_(*TEXT_BASE, ATOKS, tf_cte("tr", 3, "project_is_approved is not null"),
+                         tf_cte("alltf", 3)) + """,
+n as (select count(*) as n from all_text_v where project_is_approved is not null),
+voc as (select term, ln((1 + (select n from n)) / (1 + df)) + 1 as idf from (
+          select term, count(*) as df, sum(tf) as ttf from tr group by term)
+        where df >= 5 and df <= 0.9 * (select n from n) order by ttf desc, term limit 10000),
+w as (select id, term, (1 + ln(tf)) * idf as w from alltf join voc using (term))
+select id, term, round(w / sqrt(sum(w * w) over (partition by id)), 6) as weight from w"""

@@ -257,3 +257,102 @@ def q_poly2(spark, sf):
     scaled = enc.MinMax(ROLLUP_CONT).fit(df).transform(df)
     p = enc.Poly2(ROLLUP_CONT).transform(scaled)
     return p.select("id", F.posexplode("poly").alias("slot", "value")).select("id", "slot", r6("value"))
+
+
+# ---------------------------------------------------------------- vocabularies and text models (#2-3, 21, 30-31, 35-36, 61-69)
+
+from tessera.operators import tfidf as tf  # noqa: E402
+from tessera.operators import vocab as vc  # noqa: E402
+
+
+def all_text(spark, sf):
+    e = cleaned_essays(spark, sf).withColumn("all_essays", tx.concat_text(ESSAYS))
+    return e.select("id", "project_is_approved", tx.concat_text(
+        ["project_title", "all_essays", "project_resource_summary", "description"]).alias("all_text"))
+
+
+def vec_text(c):
+    return F.array_join(F.transform(c, lambda x: F.format_string("%.6f", x.cast("double"))), " ")
+
+
+@query("token_vocab")
+def q_token_vocab(spark, sf):
+    return vc.token_vocab((all_text(spark, sf), "all_text"))
+
+
+def sequences(spark, sf, num_words=100000):
+    docs = all_text(spark, sf)
+    voc = vc.token_vocab((docs, "all_text"))
+    return vc.token_sequences(docs, "all_text", voc, num_words=num_words), voc
+
+
+@query("token_sequences")
+def q_token_sequences(spark, sf):
+    s, _ = sequences(spark, sf)
+    return s.select("id", F.array_join("seq", " ").alias("seq"))
+
+
+@query("pad_sequences")
+def q_pad_sequences(spark, sf):
+    s, _ = sequences(spark, sf)
+    return vc.pad_sequences(s, "seq", maxlen=300).select("id", F.array_join("seq", " ").alias("seq"))
+
+
+@query("embedding_matrix")
+def q_embedding_matrix(spark, sf):
+    voc = vc.token_vocab((all_text(spark, sf), "all_text"))
+    m = vc.embedding_matrix(voc, T.word_vectors_v(spark, sf), dim=64, num_words=100000)
+    return m.select("row", "token", vec_text(F.col("vec")).alias("vec"))
+
+
+@query("doc_vectors")
+def q_doc_vectors(spark, sf):
+    s, voc = sequences(spark, sf)
+    m = vc.embedding_matrix(voc, T.word_vectors_v(spark, sf), dim=64, num_words=100000)
+    dv = vc.doc_vectors(s, m.select(F.col("row").alias("rank"), "vec"), dim=64)
+    return dv.select("id", F.posexplode("vec").alias("dim", "value")).select("id", "dim", r6("value"))
+
+
+@query("vec_text_scan")
+def q_vec_text_scan(spark, sf):
+    lines = vc.format_vector_lines(T.word_vectors_v(spark, sf))
+    parsed = vc.parse_vector_lines(lines)
+    return parsed.select("word", vec_text(F.col("vec")).alias("vec"))
+
+
+@query("embedding_scan")
+def q_embedding_scan(spark, sf):
+    e = T.table(spark, sf, "embeddings")
+    return e.select("vec_id", "label", vec_text(F.col("embedding")).alias("vec"))
+
+
+@query("stopword_ngrams")
+def q_stopword_ngrams(spark, sf):
+    return tf.stopword_ngrams(all_text(spark, sf), "all_text", 1, 2)
+
+
+@query("term_stats")
+def q_term_stats(spark, sf):
+    return tf.term_stats(tf.stopword_ngrams(all_text(spark, sf), "all_text", 1, 2))
+
+
+@query("top_terms")
+def q_top_terms(spark, sf):
+    docs = all_text(spark, sf)
+    n = docs.count()
+    st = tf.term_stats(tf.stopword_ngrams(docs, "all_text", 1, 3))
+    st = st.where((F.col("df") >= 5) & (F.col("df") <= 0.9 * n))
+    return tf.top_terms(st, 400)
+
+
+@query("tfidf")
+def q_tfidf(spark, sf):
+    docs = all_text(spark, sf)
+    train = docs.where(F.col("project_is_approved").isNotNull())
+    model = tf.TfIdf("all_text", max_features=10000, ngram=(1, 3), min_df=5, max_df=0.9).fit(train)
+    return model.transform(docs).select("id", "term", r6("weight"))
+
+
+@query("embed_text")
+def q_embed_text(spark, sf):
+    return vc.embed_text(T.essays_v(spark, sf), T.TEXT_COLS, dim=64)

@@ -83,3 +83,14 @@ def lexicon_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.length("token")
     return toks.select("token", (n % 8).alias("class"), ((n % 5 - 2) / F.lit(2.0)).alias("polarity"),
                        ((n % 3) / F.lit(2.0)).alias("subjectivity"))
+
+
+def word_vectors_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test word vectors ``(word, vec)``: corpus tokens ranked by count (desc) then token; the token of rank r
+    takes ``embeddings.vec_id = r - 1`` (so only the most frequent tokens have a vector)."""
+    from tessera.operators.ordering import global_row_number
+    counts = corpus_tokens(spark, sf_dir).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    ranked = global_row_number(counts, [F.desc("count"), F.asc("token")], out="rank")
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return (ranked.join(emb, ranked["rank"] - 1 == emb["vec_id"])
+            .select(F.col("token").alias("word"), F.col("embedding").alias("vec")))
