@@ -26,3 +26,18 @@ def split_by_presence(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
     """(rows where ``col`` is present, rows where it is absent). Both are filters of the same plan."""
     p = presence(col)
     return df.filter(p), df.filter(~p)
+
+
+def assemble_blocks(key: str, blocks, how: str = "inner", out: str = "features") -> tuple[DataFrame, list[str]]:
+    """Bind feature blocks by key (never by row position) into one ``array<double>`` column.
+
+    ``blocks`` is a list of ``(frame, [columns])``, each frame one row per key. Returns the assembled frame
+    ``(key, features)`` and the slot names in order (block order, then column order). Blocks that are
+    aggregates keyed by ``key`` are already hash-partitioned on it, so their joins reuse that partitioning.
+    """
+    df, names = None, []
+    for frame, cols in blocks:
+        part = frame.select(key, *[F.col(c).cast("double").alias(c) for c in cols])
+        df = part if df is None else df.join(part, key, how)
+        names += list(cols)
+    return df.select(key, F.array(*[F.col(c) for c in names]).alias(out)), names

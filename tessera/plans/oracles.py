@@ -360,3 +360,72 @@ voc as (select term, ln((1 + (select n from n)) / (1 + df)) + 1 as idf from (
         where df >= 5 and df <= 0.9 * (select n from n) order by ttf desc, term limit 10000),
 w as (select id, term, (1 + ln(tf)) * idf as w from alltf join voc using (term))
 select id, term, round(w / sqrt(sum(w * w) over (partition by id)), 6) as weight from w"""
+
+ORACLES["quick_sample"] = with_(PROJECTS_V) + \
+    "select id, teacher_prefix, school_state from projects_v order by id limit 4000"
+
+ORACLES["kfold_contiguous"] = with_(PROJECTS_V) + """,
+r as (select id, row_number() over (order by id) - 1 as i, count(*) over () as n from projects_v),
+p as (select id, i, n // 5 as q, n % 5 as rem from r)
+select id, cast(case when i < rem * (q + 1) then i // (q + 1) else rem + (i - rem * (q + 1)) // q end as integer) as fold
+from p"""
+
+ORACLES["union_by_name"] = with_(ESSAYS_V) + """
+select id, project_is_approved, lang from essays_v where project_is_approved is not null
+union all by name
+select id, source from essays_v where project_is_approved is null"""
+
+ORACLES["sorted_scores"] = with_(SCORES_V) + \
+    "select model, id, round(score, 6) as score from scores_v where model = 'm1' order by id"
+
+BUCKET = ("case when score is null or isnan(score) or score < 0 then -1 else least(999, "
+          "case when (floor(score * 999) + 1) / 999 <= score then floor(score * 999) + 1 else floor(score * 999) end) end")
+ORACLES["binned_auc"] = with_(SCORES_V) + f""",
+sc as (select s.model, l.quality as y, cast({BUCKET} as integer) as b
+       from scores_v s join labels l on s.id = l.doc_id),
+hist as (select model, b, sum(y) as pos, sum(1 - y) as neg from sc group by model, b),
+tot as (select model, sum(pos) as P, sum(neg) as N from hist group by model),
+grid as (select t.model, t.P, t.N, k.b from tot t cross join (select unnest(range(0, 1000)) as b) k),
+g as (select grid.*, coalesce(h.pos, 0) as pos, coalesce(h.neg, 0) as neg
+      from grid left join hist h on grid.model = h.model and grid.b = h.b),
+c as (select *, sum(pos) over (partition by model order by b desc rows unbounded preceding) as tp,
+                sum(neg) over (partition by model order by b desc rows unbounded preceding) as fp from g),
+r as (select *, tp / P as tpr, fp / N as fpr from c),
+s as (select *, coalesce(lag(fpr) over (partition by model order by b), 1.0) as fprev from r)
+select model, round(case when max(P) > 0 and max(N) > 0 then sum(tpr * (fprev - fpr)) end, 6) as auc
+from s group by model"""
+
+ORACLES["fold_mean"] = with_(SCORES_V) + "select id, round(avg(score), 6) as score from scores_v group by id"
+ORACLES["scores_long"] = with_(SCORES_V) + "select model, id, round(score, 6) as score from scores_v"
+ORACLES["ensemble_mean"] = ORACLES["fold_mean"]
+
+WEIGHTS = """weights as (select * from (values ('m1', 0.76208), ('m2', 0.80257), ('m3', 0.81640)) t(model, s)),
+w as (select model, pow(10 * s, 75) / 10000 as w from weights)"""
+BLEND = "blend as (select id, sum(w * score) / sum(w) as score from scores_v join w using (model) group by id)"
+ORACLES["ensemble_weighted"] = with_(SCORES_V, WEIGHTS, BLEND) + "select id, round(score, 6) as score from blend"
+
+ORACLES["score_minmax"] = with_(SCORES_V) + """,
+b as (select model, min(score) as lo, max(score) as hi from scores_v group by model)
+select model, id, round((score - lo) / case when hi > lo then hi - lo else 1 end, 6) as score
+from scores_v join b using (model)"""
+
+ORACLES["fill_template"] = with_(ESSAYS_V, SCORES_V, WEIGHTS, BLEND) + """
+select e.id, round(b.score, 6) as project_is_approved
+from essays_v e left join blend b on e.id = b.id where e.project_is_approved is null"""
+
+ORACLES["wide_probs"] = "select vec_id, " + ", ".join(
+    f"round(exp(embedding[{i + 1}]) / (" + " + ".join(f"exp(embedding[{j + 1}])" for j in range(10)) +
+    f"), 6) as class_{i}" for i in range(10)) + " from embeddings"
+
+ORACLES["assemble_blocks"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, LEXICON_V) + \
+    ", num as (select id, " + ", ".join(f"{e} as {n}" for n, e in _ESSAY_NUM.items()) + " from essays_v),\n" + \
+    f"""lex as (select e.id, {half_up('coalesce(s.polarity, 0)', 2)} as polarity,
+       {half_up('coalesce(s.subjectivity, 0)', 2)} as subjectivity
+  from essays_v e left join (
+    select t.id, avg(l.polarity) as polarity, avg(l.subjectivity) as subjectivity
+    from toks t join lexicon_v l on t.token = l.token
+    where t.field in ('project_essay_1', 'project_essay_2', 'project_essay_3', 'project_essay_4')
+    group by t.id) s on e.id = s.id),
+f as (select num.id, [""" + ", ".join(f"num.{n}" for n in _ESSAY_NUM) + """, lex.polarity, lex.subjectivity] as v
+      from num join lex on num.id = lex.id)
+select id, cast(i - 1 as integer) as slot, round(v[i], 6) as value from f, (select unnest(range(1, 8)) as i) k"""

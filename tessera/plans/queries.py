@@ -356,3 +356,122 @@ def q_tfidf(spark, sf):
 @query("embed_text")
 def q_embed_text(spark, sf):
     return vc.embed_text(T.essays_v(spark, sf), T.TEXT_COLS, dim=64)
+
+
+# ---------------------------------------------------------------- splits, metric, union, ensembles (#22-23, 32-33, 37-42, 77, 80-83)
+
+from tessera.operators import ensemble as ens  # noqa: E402
+from tessera.operators import metrics as mt  # noqa: E402
+from tessera.operators import splits as sp  # noqa: E402
+
+LEADERBOARD = {"m1": 0.76208, "m2": 0.80257, "m3": 0.81640}
+
+
+@query("quick_sample")
+def q_quick_sample(spark, sf):
+    p = T.projects_v(spark, sf).select("id", "teacher_prefix", "school_state")
+    return sp.quick_sample(p, 4000)
+
+
+@query("kfold_contiguous")
+def q_kfold_contiguous(spark, sf):
+    return sp.kfold(T.projects_v(spark, sf).select("id"), k=5, method="contiguous")
+
+
+@query("kfold_hash")
+def q_kfold_hash(spark, sf):
+    return sp.kfold(T.projects_v(spark, sf).select("id"), k=5, method="hash", seed=0, repeats=1)
+
+
+@query("hash_split")
+def q_hash_split(spark, sf):
+    a, b = sp.hash_split(T.projects_v(spark, sf).select("id"), 0.8, seed=233)
+    return a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("valid")))
+
+
+@query("union_by_name")
+def q_union_by_name(spark, sf):
+    e = T.essays_v(spark, sf)
+    train = e.where(F.col("project_is_approved").isNotNull()).select("id", "project_is_approved", "lang")
+    test = e.where(F.col("project_is_approved").isNull()).select("id", "source")
+    return sp.union_by_name(train, test)
+
+
+@query("sorted_scores")
+def q_sorted_scores(spark, sf):
+    return T.scores_v(spark, sf).where(F.col("model") == "m1").orderBy("id").select("model", "id", r6("score"))
+
+
+def labelled_scores(spark, sf):
+    lab = T.table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    return T.scores_v(spark, sf).join(lab, "id")
+
+
+@query("binned_auc")
+def q_binned_auc(spark, sf):
+    return mt.binned_auc(labelled_scores(spark, sf), "label", "score", bins=1000, group="model") \
+        .select("model", r6("auc"))
+
+
+@query("fold_mean")
+def q_fold_mean(spark, sf):
+    s = T.scores_v(spark, sf).withColumnRenamed("model", "fold")
+    return ens.fold_mean(s).select("id", r6("score"))
+
+
+def model_tables(spark, sf):
+    s = T.scores_v(spark, sf)
+    return {m: s.where(F.col("model") == m).select("id", F.col("score").alias("project_is_approved"))
+            for m in ("m1", "m2", "m3")}
+
+
+@query("scores_long")
+def q_scores_long(spark, sf):
+    return ens.scores_long(model_tables(spark, sf)).select("model", "id", r6("score"))
+
+
+@query("ensemble_mean")
+def q_ensemble_mean(spark, sf):
+    return ens.ensemble_mean(ens.scores_long(model_tables(spark, sf))).select("id", r6("score"))
+
+
+@query("ensemble_weighted")
+def q_ensemble_weighted(spark, sf):
+    w = ens.power_weights(spark, LEADERBOARD, 75)
+    return ens.ensemble_weighted(ens.scores_long(model_tables(spark, sf)), w).select("id", r6("score"))
+
+
+@query("score_minmax")
+def q_score_minmax(spark, sf):
+    return ens.score_minmax(T.scores_v(spark, sf)).select("model", "id", r6("score"))
+
+
+@query("fill_template")
+def q_fill_template(spark, sf):
+    e = T.essays_v(spark, sf)
+    template = e.where(F.col("project_is_approved").isNull()).select(
+        "id", F.lit(0.5).alias("project_is_approved"))
+    w = ens.power_weights(spark, LEADERBOARD, 75)
+    blend = ens.ensemble_weighted(ens.scores_long(model_tables(spark, sf)), w)
+    return ens.fill_template(template, blend).select("id", r6("project_is_approved"))
+
+
+CLASSES = [f"class_{i}" for i in range(10)]
+
+
+@query("wide_probs")
+def q_wide_probs(spark, sf):
+    e = T.table(spark, sf, "embeddings")
+    ex = e.select("vec_id", F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double"))).alias("ex"))
+    tot = ex.select("vec_id", "ex", F.aggregate("ex", F.lit(0.0), lambda a, x: a + x).alias("t"))
+    probs = tot.select("vec_id", F.transform("ex", lambda x: x / F.col("t")).alias("probs"))
+    wide = ens.wide_from_array(probs, CLASSES, key="vec_id")
+    return wide.select("vec_id", *[r6(c) for c in CLASSES])
+
+
+@query("assemble_blocks")
+def q_assemble_blocks(spark, sf):
+    num = essay_numeric(spark, sf)
+    lex = lx.lexicon_score(T.essays_v(spark, sf), ESSAYS, T.lexicon_v(spark, sf))
+    df, names = assemble.assemble_blocks("id", [(num, ESSAY_NUM), (lex, ["polarity", "subjectivity"])])
+    return df.select("id", F.posexplode("features").alias("slot", "value")).select("id", "slot", r6("value"))
