@@ -475,3 +475,76 @@ def q_assemble_blocks(spark, sf):
     lex = lx.lexicon_score(T.essays_v(spark, sf), ESSAYS, T.lexicon_v(spark, sf))
     df, names = assemble.assemble_blocks("id", [(num, ESSAY_NUM), (lex, ["polarity", "subjectivity"])])
     return df.select("id", F.posexplode("features").alias("slot", "value")).select("id", "slot", r6("value"))
+
+
+# ---------------------------------------------------------------- models (#71-78, 84): rows-only checks
+
+from tessera.operators import models as md  # noqa: E402
+
+MODEL_FEATURES = ESSAY_NUM + [f"{c}_sent_len" for c in ESSAYS]
+
+
+def model_frames(spark, sf):
+    """Labelled essays as train, unlabelled as test; numeric text features min-max scaled on train."""
+    e = T.essays_v(spark, sf)
+    df = e.select("id", "project_is_approved", "project_essay_3", F.col("n_chars").cast("double").alias("n_chars"),
+                  *[tx.word_count(c).cast("double").alias(f"{c}_word_len") for c in ESSAYS],
+                  *[tx.sentence_count(c).cast("double").alias(f"{c}_sent_len") for c in ESSAYS])
+    train = df.where(F.col("project_is_approved").isNotNull())
+    test = df.where(F.col("project_is_approved").isNull())
+    mm = enc.MinMax(MODEL_FEATURES).fit(train)
+    return mm.transform(train), mm.transform(test)
+
+
+@query("rf_score")
+def q_rf_score(spark, sf):
+    tr, te = model_frames(spark, sf)
+    return md.rf_score(tr, te, MODEL_FEATURES, "project_is_approved", max_depth=5, num_trees=20)
+
+
+@query("gbt_score")
+def q_gbt_score(spark, sf):
+    tr, te = model_frames(spark, sf)
+    return md.gbt_score(tr, te, MODEL_FEATURES, "project_is_approved", max_iter=10)
+
+
+@query("gbt_kfold_score")
+def q_gbt_kfold_score(spark, sf):
+    tr, te = model_frames(spark, sf)
+    return md.gbt_kfold_score(tr, te, MODEL_FEATURES, "project_is_approved", k=5, max_iter=5)
+
+
+@query("linear_score")
+def q_linear_score(spark, sf):
+    tr, te = model_frames(spark, sf)
+    return md.linear_score(tr, te, MODEL_FEATURES, "project_is_approved", max_iter=10)
+
+
+@query("mlp_score")
+def q_mlp_score(spark, sf):
+    tr, te = model_frames(spark, sf)
+    return md.mlp_score(tr, te, MODEL_FEATURES, "project_is_approved", hidden=(8,), max_iter=50)
+
+
+@query("softmax_score")
+def q_softmax_score(spark, sf):
+    e = T.table(spark, sf, "embeddings")
+    s = md.softmax_score(e, "embedding", "label", key="vec_id", max_iter=50)
+    return s.select("set", "id", F.array_position("probs", F.array_max("probs")).alias("pred_class"),
+                    F.array_max("probs").alias("max_prob"))
+
+
+@query("split_train_merge")
+def q_split_train_merge(spark, sf):
+    tr, te = model_frames(spark, sf)
+    return md.split_train_merge(tr, te, "project_essay_3", md.linear_score, features=MODEL_FEATURES,
+                                label="project_is_approved", max_iter=10)
+
+
+@query("ensemble_stack")
+def q_ensemble_stack(spark, sf):
+    s = T.scores_v(spark, sf)
+    lab = T.table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    train_long = s.join(lab.select("id"), "id")
+    test_long = s.join(lab.select("id"), "id", "left_anti")
+    return md.ensemble_stack(train_long, lab, test_long, ["m1", "m2", "m3"], max_iter=20)
