@@ -43,7 +43,9 @@ def binned_auc(df: DataFrame, label: str, score: str, bins: int = 1000, group: s
     g = grid.join(hist, [*gcols, "_b"], "left").fillna(0, subset=["_pos", "_neg"])
     desc = Window.partitionBy(*gcols).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, 0)
     g = g.withColumn("_tp", F.sum("_pos").over(desc)).withColumn("_fp", F.sum("_neg").over(desc))
-    g = g.withColumn("_tpr", F.col("_tp") / F.col("_P")).withColumn("_fpr", F.col("_fp") / F.col("_N"))
+    # try_divide: a group without positives (or negatives) has no rate; its AUC is null below.
+    g = g.withColumn("_tpr", F.try_divide(F.col("_tp"), F.col("_P"))) \
+        .withColumn("_fpr", F.try_divide(F.col("_fp"), F.col("_N")))
     asc = Window.partitionBy(*gcols).orderBy("_b")
     g = g.withColumn("_fpr_prev", F.coalesce(F.lag("_fpr").over(asc), F.lit(1.0)))
     auc = g.groupBy(*gcols).agg(

@@ -7,6 +7,7 @@ ties by token (first-seen order is not defined on a distributed table).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -146,7 +147,6 @@ def embed_text(df: DataFrame, cols, encoder=None, dim: int = 64, key: str = "id"
         # Every stage is a stateless transformer: fitting reads no data.
         model = Pipeline(stages=stages).fit(toks.limit(0))
         return model.transform(toks).select(key, vector_to_array(F.col("_v"), "float32").alias(out))
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("array<float>")

@@ -429,3 +429,9 @@ ORACLES["assemble_blocks"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, LEXICON_V
 f as (select num.id, [""" + ", ".join(f"num.{n}" for n in _ESSAY_NUM) + """, lex.polarity, lex.subjectivity] as v
       from num join lex on num.id = lex.id)
 select id, cast(i - 1 as integer) as slot, round(v[i], 6) as value from f, (select unnest(range(1, 8)) as i) k"""
+
+ORACLES["csv_roundtrip"] = with_(ESSAYS_V) + """
+select id, lang, case when project_title = '' then null else project_title end as project_title,
+       case when description = '' then null else description end as description from essays_v"""
+
+ORACLES["map_column"] = with_(ESSAYS_V) + "select id, cast(length(project_title) as bigint) as title_len from essays_v"

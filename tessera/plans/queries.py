@@ -548,3 +548,26 @@ def q_ensemble_stack(spark, sf):
     train_long = s.join(lab.select("id"), "id")
     test_long = s.join(lab.select("id"), "id", "left_anti")
     return md.ensemble_stack(train_long, lab, test_long, ["m1", "m2", "m3"], max_iter=20)
+
+
+# ---------------------------------------------------------------- sources and sinks, column map (#1, #4-5, #55)
+
+from tessera.session import scratch_dir  # noqa: E402
+from tessera.sources import files as fs  # noqa: E402
+
+ESSAY_CSV_SCHEMA = "id long, lang string, project_title string, description string"
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """Write the essays (multi-line-safe quoting) to CSV in the shared scratch folder and read them back."""
+    e = T.essays_v(spark, sf).select("id", "lang", "project_title", "description")
+    path = scratch_dir(spark, "csv")
+    fs.write_csv(e, path)
+    return fs.read_csv(spark, path, ESSAY_CSV_SCHEMA)
+
+
+@query("map_column")
+def q_map_column(spark, sf):
+    e = T.essays_v(spark, sf).select("id", "project_title")
+    return tx.map_column(e, len, "project_title", "title_len", "long").select("id", "title_len")
