@@ -75,10 +75,19 @@ def stopword_ngrams(df: DataFrame, col: str, n_min: int = 1, n_max: int = 1, sto
     toks = analyzer_tokens(col, accents)
     if stop:
         toks = F.filter(toks, lambda t: ~t.isin(stop))
-    # Tokens are projected into a column first: the n-gram lambdas then read that column instead of
-    # re-running the tokenizer for every n-gram position.
-    return (df.select(key, toks.alias("_toks"))
-            .select(key, F.explode(ngrams(F.col("_toks"), n_min, n_max)).alias("term"))
+    # Tokens are projected into a column once; n-grams come from Spark ML's NGram transformer (compiled,
+    # about twice as fast as the same thing written with higher-order-function lambdas).
+    from pyspark.ml.feature import NGram
+    g = df.select(key, toks.alias("_toks"))
+    parts = []
+    for n in range(n_min, n_max + 1):
+        if n == 1:
+            parts.append(F.col("_toks"))
+        else:
+            g = NGram(n=n, inputCol="_toks", outputCol=f"_g{n}").transform(g)
+            parts.append(F.col(f"_g{n}"))
+    grams = F.concat(*parts) if len(parts) > 1 else parts[0]
+    return (g.select(key, F.explode(grams).alias("term"))
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
