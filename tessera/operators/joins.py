@@ -3,8 +3,9 @@
 A fact stream of tokens is heavily skewed on the join key (a few words make up a large share of all
 tokens), and a dimension table such as a lexicon or a vocabulary grows with the corpus. So:
 
-* the dimension is broadcast only after its row count is checked against a bound (``limit(n+1).count()``
-  stops reading as soon as the bound is passed);
+* the dimension is broadcast only after its row count is checked against a bound derived from a row limit
+  and a byte budget over an estimated row width (``limit(n+1).count()`` stops reading as soon as the bound
+  is passed);
 * otherwise the join is a shuffle join with the fact side salted by a hash of a spreading column and the
   dimension rows replicated once per salt value, so one hot key is split over ``salt`` tasks instead of one.
 """
@@ -14,7 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 DEFAULT_SALT = 16
 
 
@@ -23,15 +27,41 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
+def estimated_row_bytes(df: DataFrame, sample_rows: int = 200) -> float:
+    """Width of a row in memory: fixed-width fields from the schema; strings and arrays from their mean
+    length over a small sample (the first ``sample_rows`` rows)."""
+    fixed, probes = 16.0, []
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, T.StringType):
+            probes.append(F.avg(F.length(F.col(f.name))) * 1.0 + 16)
+        elif isinstance(t, T.ArrayType):
+            elem = t.elementType.defaultSize if not isinstance(t.elementType, T.StringType) else 24
+            probes.append(F.avg(F.size(F.col(f.name))) * float(elem) + 16)
+        else:
+            fixed += t.defaultSize
+    if not probes:
+        return fixed
+    row = df.limit(sample_rows).agg(*[p.alias(f"p{i}") for i, p in enumerate(probes)]).first()
+    return fixed + sum(float(v or 0.0) for v in row)
+
+
+def broadcastable(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """Row bound and byte bound: at most ``min(max_rows, max_bytes / row width)`` rows."""
+    bound = int(min(max_rows, max_bytes // max(estimated_row_bytes(dim), 1.0)))
+    return bound > 0 and has_at_most(dim, bound)
+
+
 def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
                 spread: str | None = None, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                salt: int = DEFAULT_SALT) -> DataFrame:
+                salt: int = DEFAULT_SALT, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Equi-join ``facts`` to ``dim`` (``how`` in inner/left), robust to hot keys on the fact side.
 
     ``spread`` names a fact column with many distinct values (e.g. the document id) used to salt.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if has_at_most(dim, max_broadcast_rows):
+    if broadcastable(dim, max_broadcast_rows, max_broadcast_bytes):
         return facts.join(F.broadcast(dim), keys, how)
     spread_col = F.col(spread) if spread else F.rand(seed=17)
     f = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_col), F.lit(salt)).cast("int"))

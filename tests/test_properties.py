@@ -91,3 +91,16 @@ def test_step_auc_perfect_and_constant(spark):
     assert mt.binned_auc(const, "y", "s", method="exact").first()["auc"] == 0.5
     one_class = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, s double")
     assert mt.binned_auc(one_class, "y", "s").first()["auc"] is None
+
+
+def test_lookup_join_paths_agree(spark):
+    """The broadcast path and the salted shuffle path give the same rows (hot key included)."""
+    from tessera.operators.joins import broadcastable, lookup_join
+    facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 7}") for i in range(300)], "id long, token string")
+    dim = spark.createDataFrame([("hot", 1), *[(f"k{j}", j) for j in range(7)]], "token string, cls int")
+    a = sorted(lookup_join(facts, dim, "token", spread="id").collect())
+    b = sorted(lookup_join(facts, dim, "token", spread="id", max_broadcast_rows=1).collect())
+    c = sorted(lookup_join(facts, dim, "token", how="left", spread="id", max_broadcast_bytes=1).collect())
+    assert a == b == c and len(a) == 300
+    wide = spark.createDataFrame([(w, [0.0] * 300) for w in ("a", "b")], "word string, vec array<float>")
+    assert broadcastable(wide, max_bytes=1 << 20) and not broadcastable(wide, max_bytes=1000)
