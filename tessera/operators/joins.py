@@ -3,9 +3,8 @@
 A fact stream of tokens is heavily skewed on the join key (a few words make up a large share of all
 tokens), and a dimension table such as a lexicon or a vocabulary grows with the corpus. So:
 
-* the dimension is broadcast only after its row count is checked against a bound derived from a row limit
-  and a byte budget over an estimated row width (``limit(n+1).count()`` stops reading as soon as the bound
-  is passed);
+* the dimension is broadcast only after its row count and its byte size are measured against a row limit
+  and a byte budget (one pass over at most ``n + 1`` rows: ``limit(n+1)`` stops reading past the bound);
 * otherwise the join is a shuffle join with the fact side salted by a hash of a spreading column and the
   dimension rows replicated once per salt value, so one hot key is split over ``salt`` tasks instead of one.
 """
@@ -14,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -27,30 +25,47 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def estimated_row_bytes(df: DataFrame, sample_rows: int = 200) -> float:
-    """Width of a row in memory: fixed-width fields from the schema; strings and arrays from their mean
-    length over a small sample (the first ``sample_rows`` rows)."""
-    fixed, probes = 16.0, []
-    for f in df.schema.fields:
-        t = f.dataType
-        if isinstance(t, T.StringType):
-            probes.append(F.avg(F.length(F.col(f.name))) * 1.0 + 16)
-        elif isinstance(t, T.ArrayType):
-            elem = t.elementType.defaultSize if not isinstance(t.elementType, T.StringType) else 24
-            probes.append(F.avg(F.size(F.col(f.name))) * float(elem) + 16)
-        else:
-            fixed += t.defaultSize
-    if not probes:
-        return fixed
-    row = df.limit(sample_rows).agg(*[p.alias(f"p{i}") for i, p in enumerate(probes)]).first()
-    return fixed + sum(float(v or 0.0) for v in row)
+# Fixed-width types: bytes per value (an in-memory row also carries a null bitmap and offsets, counted
+# as a flat 16 bytes per row).
+_FIXED_BYTES = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+                T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+                T.DecimalType: 16}
+
+
+def _value_bytes(c, t) -> "F.Column":
+    """Bytes a value of type ``t`` in column expression ``c`` occupies (0 for null)."""
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(t, T.ArrayType) and type(t.elementType) in _FIXED_BYTES:
+        return F.coalesce(F.size(c), F.lit(0)) * _FIXED_BYTES[type(t.elementType)] + 16
+    if isinstance(t, T.ArrayType):
+        return F.coalesce(F.aggregate(c, F.lit(0).cast("long"),
+                                      lambda acc, x: acc + _value_bytes(x, t.elementType)), F.lit(0)) + 16
+    if isinstance(t, T.StructType):
+        return sum((_value_bytes(c[f.name], f.dataType) for f in t.fields), F.lit(0)) + 8
+    if isinstance(t, T.MapType):
+        return F.coalesce(F.size(c), F.lit(0)) * 32 + 16
+    if isinstance(t, T.UserDefinedType):  # ml vectors: measured through their array form
+        from pyspark.ml.functions import vector_to_array
+        return F.coalesce(F.size(vector_to_array(c)), F.lit(0)) * 8 + 16
+    return F.lit(_FIXED_BYTES.get(type(t), 8))
+
+
+def measured_size(df: DataFrame, limit: int) -> tuple[int, int]:
+    """``(rows, bytes)`` over the first ``limit`` rows of ``df``, in one job that reads no further."""
+    width = sum((_value_bytes(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16))
+    r = df.limit(limit).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return int(r["n"]), int(r["b"] or 0)
 
 
 def broadcastable(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """Row bound and byte bound: at most ``min(max_rows, max_bytes / row width)`` rows."""
-    bound = int(min(max_rows, max_bytes // max(estimated_row_bytes(dim), 1.0)))
-    return bound > 0 and has_at_most(dim, bound)
+    """True when ``dim`` has at most ``max_rows`` rows holding at most ``max_bytes`` bytes, measured on the
+    data itself (at most ``max_rows + 1`` rows are read)."""
+    if max_rows <= 0 or max_bytes <= 0:
+        return False
+    n, b = measured_size(dim, max_rows + 1)
+    return n <= max_rows and b <= max_bytes
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
