@@ -40,3 +40,16 @@ def dense_index_within(df: DataFrame, group: str, order_cols: list, out: str = "
     return (ranked.join(first, group)
             .withColumn(out, (F.col("_g_rn") - F.col("_g_first")).cast("int"))
             .drop("_g_rn", "_g_first"))
+
+
+def co_locate(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition rows by ``keys`` ahead of work that multiplies rows per key and then aggregates per key
+    (tokens exploded from a document, then counted per document).
+
+    Shuffling the compact input once (one row per document) replaces shuffling the exploded rows, which are
+    several times larger; every later step keyed by the same columns (aggregate, per-key window, join back
+    to the keys) then runs inside its partition. Spark drops this exchange when the input is already
+    partitioned on the keys, e.g. the output of an aggregate keyed the same way. Rows are unique per key
+    here (a document is one row), so no partition receives more than its share of keys.
+    """
+    return df.repartition(*keys)

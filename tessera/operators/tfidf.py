@@ -7,11 +7,12 @@ Definition (fit on a corpus of n documents, apply to any documents):
   weight (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1) (or tf * idf without ``sublinear``) -> l2-normalise
   each document.
 
-Physical plan: the n-grams of a document are generated in its row and exploded; ``groupBy(id, term)``
-combines map-side, so each task ships one row per (document, term). Document frequencies are a second
-partial aggregate by term, so a term that occurs in every document still costs one row per task. The
-vocabulary is bounded by ``max_features`` and broadcast; without a bound it goes through the size-checked
-lookup join. The l2 norm is a window per document (bounded by the document's distinct terms).
+Physical plan: documents are hash-partitioned by id once (one row per document, the compact form), then
+the n-grams of a document are generated in its row and exploded, and ``groupBy(id, term)`` runs inside the
+partition: the exploded n-grams are never shuffled. Document frequencies are a partial aggregate by term,
+so a term that occurs in every document still costs one row per task. The vocabulary is bounded by
+``max_features`` and broadcast; without a bound it goes through the size-checked lookup join. The l2 norm
+is a window per document (bounded by the document's distinct terms), inside the same partitioning.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import strip_accents
 from tessera.operators.joins import lookup_join
+from tessera.operators.ordering import co_locate
 
 
 @functools.lru_cache(maxsize=4)
@@ -78,7 +80,7 @@ def stopword_ngrams(df: DataFrame, col: str, n_min: int = 1, n_max: int = 1, sto
     # Tokens are projected into a column once; n-grams come from Spark ML's NGram transformer (compiled,
     # about twice as fast as the same thing written with higher-order-function lambdas).
     from pyspark.ml.feature import NGram
-    g = df.select(key, toks.alias("_toks"))
+    g = co_locate(df.select(key, col), key).select(key, toks.alias("_toks"))
     parts = []
     for n in range(n_min, n_max + 1):
         if n == 1:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import lookup_join
-from tessera.operators.ordering import global_row_number
+from tessera.operators.ordering import co_locate, global_row_number
 
 # The filter characters of the sequence tokenizer (replaced by a space before splitting).
 SEQUENCE_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
@@ -45,16 +45,19 @@ def token_vocab(*frames_and_cols) -> DataFrame:
 def token_sequences(df: DataFrame, col: str, vocab: DataFrame, num_words: int | None = None,
                     key: str = "id") -> DataFrame:
     """``(key, seq)``: the ranks of the known tokens of each text, in text order. Tokens not in the vocabulary,
-    and ranks ``>= num_words``, are skipped. A text without known tokens gives an empty array."""
-    toks = df.select(key, F.posexplode(seq_tokens(col)).alias("pos", "token"))
+    and ranks ``>= num_words``, are skipped. A text without known tokens gives an empty array.
+
+    Texts are co-located by key first, so the exploded tokens, the lookup and the ordered collection per
+    text stay inside one partition (an outer explode keeps texts without tokens, no join back needed)."""
+    docs = co_locate(df.select(key, col), key)
+    toks = docs.select(key, F.posexplode_outer(seq_tokens(col)).alias("pos", "token"))
     v = vocab.select("token", "rank")
     if num_words is not None:
         v = v.where(F.col("rank") < num_words)
-    j = lookup_join(toks, v, "token", spread=key)
-    seqs = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "rank"))).alias("_s"))
-    out = df.select(key).join(seqs, key, "left")
-    return out.select(key, F.coalesce(F.transform("_s", lambda s: s["rank"].cast("int")),
-                                      F.array().cast("array<int>")).alias("seq"))
+    j = lookup_join(toks, v, "token", how="left", spread=key)
+    hit = F.when(F.col("rank").isNotNull(), F.struct("pos", F.col("rank").cast("int").alias("rank")))
+    seqs = j.groupBy(key).agg(F.array_sort(F.collect_list(hit)).alias("_s"))
+    return seqs.select(key, F.transform("_s", lambda s: s["rank"]).alias("seq"))
 
 
 def pad_sequences(df: DataFrame, col: str = "seq", maxlen: int = 300, out: str | None = None) -> DataFrame:
@@ -84,10 +87,12 @@ def doc_vectors(seqs: DataFrame, vectors_by_rank: DataFrame, key: str = "id", se
     an empty sequence gives null). ``vectors_by_rank`` is ``(rank, vec)``.
 
     The per-document sum runs as a JVM aggregate over ml vectors (Summarizer), so dimensions are never
-    exploded into rows.
+    exploded into rows. Sequences are co-located by key, so the token rows, their sums and the join back to
+    the sequence lengths stay inside one partition.
     """
-    toks = seqs.select(key, F.explode(seq_col).alias("rank"))
-    n = seqs.select(key, F.size(seq_col).alias("_n"))
+    s = co_locate(seqs.select(key, seq_col), key)
+    toks = s.select(key, F.explode(seq_col).alias("rank"))
+    n = s.select(key, F.size(seq_col).alias("_n"))
     vec = vectors_by_rank.select("rank", array_to_vector(F.col("vec")).alias("_v"))
     j = lookup_join(toks, vec, "rank", spread=key)
     sums = j.groupBy(key).agg(Summarizer.sum(F.col("_v")).alias("_sum"))

@@ -71,15 +71,16 @@ def scores_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m1.unionByName(m2).unionByName(m3)
 
 
-def corpus_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, field, pos, token)`` over the seven text columns of ``essays_v`` (cleaned tokens)."""
+def corpus_tokens(spark: SparkSession, sf_dir: str, by_key: bool = True) -> DataFrame:
+    """``(id, field, pos, token)`` over the seven text columns of ``essays_v`` (cleaned tokens). Corpus-wide
+    counts pass ``by_key=False`` (no co-location by id: they aggregate per token only)."""
     from tessera.operators.lexicon import tokens
-    return tokens(essays_v(spark, sf_dir), TEXT_COLS)
+    return tokens(essays_v(spark, sf_dir), TEXT_COLS, by_key=by_key)
 
 
 def lexicon_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test lexicon: every distinct corpus token with a class and two scores derived from its length."""
-    toks = corpus_tokens(spark, sf_dir).select("token").distinct()
+    toks = corpus_tokens(spark, sf_dir, by_key=False).select("token").distinct()
     n = F.length("token")
     return toks.select("token", (n % 8).alias("class"), ((n % 5 - 2) / F.lit(2.0)).alias("polarity"),
                        ((n % 3) / F.lit(2.0)).alias("subjectivity"))
@@ -89,7 +90,7 @@ def word_vectors_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test word vectors ``(word, vec)``: corpus tokens ranked by count (desc) then token; the token of rank r
     takes ``embeddings.vec_id = r - 1`` (so only the most frequent tokens have a vector)."""
     from tessera.operators.ordering import global_row_number
-    counts = corpus_tokens(spark, sf_dir).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    counts = corpus_tokens(spark, sf_dir, by_key=False).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
     ranked = global_row_number(counts, [F.desc("count"), F.asc("token")], out="rank")
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return (ranked.join(emb, ranked["rank"] - 1 == emb["vec_id"])
