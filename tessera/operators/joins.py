@@ -73,12 +73,14 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str
                 salt: int = DEFAULT_SALT, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Equi-join ``facts`` to ``dim`` (``how`` in inner/left), robust to hot keys on the fact side.
 
-    ``spread`` names a fact column with many distinct values (e.g. the document id) used to salt.
+    ``spread`` names a fact column with many distinct values (e.g. the document id) used to salt; without it
+    the salt is a hash of the whole fact row. Either way the salt is a pure function of the row, so a task
+    recomputed after a lost executor sends every row to the same place as before (a random salt would not).
     """
     keys = [on] if isinstance(on, str) else list(on)
     if broadcastable(dim, max_broadcast_rows, max_broadcast_bytes):
         return facts.join(F.broadcast(dim), keys, how)
-    spread_col = F.col(spread) if spread else F.rand(seed=17)
-    f = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_col), F.lit(salt)).cast("int"))
+    spread_cols = [F.col(spread)] if spread else [F.col(c) for c in facts.columns]
+    f = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_cols), F.lit(salt)).cast("int"))
     d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return f.join(d, keys + ["_salt"], how).drop("_salt")
