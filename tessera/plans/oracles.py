@@ -435,3 +435,25 @@ select id, lang, case when project_title = '' then null else project_title end a
        case when description = '' then null else description end as description from essays_v"""
 
 ORACLES["map_column"] = with_(ESSAYS_V) + "select id, cast(length(project_title) as bigint) as title_len from essays_v"
+
+_TF_COLS = ", ".join([*[f"{sent_len(c)} as {c}_sent_len" for c in ESSAYS],
+                      *[f"len(regexp_extract_all(coalesce({c}, ''), '{W}+|{NOT_SPACE_OR_WORD}')) as {c}_word_len"
+                        for c in ESSAYS]])
+ORACLES["text_features"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, LEXICON_V) + f""",
+raw as (select id, {_TF_COLS} from essays_v),
+lex as (select e.id, {half_up('coalesce(s.polarity, 0)', 2)} as polarity,
+               {half_up('coalesce(s.subjectivity, 0)', 2)} as subjectivity
+        from essays_v e left join (
+          select t.id, avg(l.polarity) as polarity, avg(l.subjectivity) as subjectivity
+          from toks t join lexicon_v l on t.token = l.token
+          where t.field in ('project_essay_1', 'project_essay_2', 'project_essay_3', 'project_essay_4')
+          group by t.id) s on e.id = s.id)
+select raw.*, """ + ", ".join(f"c.{c}" for c in TEXT_COLS) + """,
+       concat_ws('. ', c.project_essay_1, c.project_essay_2, c.project_essay_3, c.project_essay_4) as all_essays,
+       concat_ws('. ', c.project_title,
+                 concat_ws('. ', c.project_essay_1, c.project_essay_2, c.project_essay_3, c.project_essay_4),
+                 c.project_resource_summary, c.description) as all_text, """ + ", ".join(
+    f"len(list_distinct(list_filter(string_split_regex(c.{a}, '{_NONWORD}'), "
+    f"lambda x: list_contains(string_split_regex(c.{b}, '{_NONWORD}'), x)))) as {a}_{b}_common"
+    for a, b in _pairs) + """, lex.polarity, lex.subjectivity
+from raw join cleaned c on raw.id = c.id join lex on raw.id = lex.id"""

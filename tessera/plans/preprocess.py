@@ -1,7 +1,7 @@
 """The preprocessing plan end to end: raw parents and children -> one feature row per parent.
 
 One lazy plan. Shuffle boundaries: the child rollup (one ``groupBy(id)``), the parent/rollup join, and the
-token-level lexicon aggregation. Raw-text counts are taken before cleaning (the order matters: sentence and
+co-location of the parents by id ahead of the token-level lexicon aggregation (which then stays local). Raw-text counts are taken before cleaning (the order matters: sentence and
 word counts see punctuation that cleaning removes).
 
 Keyword and token-class counts stay in long form (see :func:`token_features`); densify them only at the very
@@ -17,6 +17,7 @@ from tessera.functions import text as tx
 from tessera.functions.calendar import calendar_labels
 from tessera.functions.nulls import null_fill
 from tessera.operators import lexicon as lx
+from tessera.operators.ordering import co_locate
 from tessera.operators.rollup import project_enrich, resource_rollup
 
 TEXT_COLS = ["project_title", "project_essay_1", "project_essay_2", "project_essay_3",
@@ -38,20 +39,27 @@ def enrich(projects: DataFrame, resources: DataFrame, ts: str = "project_submitt
 
 def text_features(df: DataFrame, lexicon: DataFrame | None = None, key: str = "id",
                   text_cols=TEXT_COLS, essays=ESSAYS) -> DataFrame:
-    """Raw counts, cleaned text, concatenations, lexicon scores and pairwise overlaps, one row per parent."""
+    """Raw counts, cleaned text, concatenations, lexicon scores and pairwise overlaps, one row per parent.
+
+    Everything but the lexicon scores is a projection of the row. The rows are co-located by key first, so
+    the per-row token aggregation of the lexicon scores and its join back to the rows need no further
+    shuffle.
+    """
     present = [c for c in text_cols if c in df.columns]
-    d = null_fill(df, {c: "" for c in present})
+    d = co_locate(null_fill(df, {c: "" for c in present}), key) if lexicon is not None else \
+        null_fill(df, {c: "" for c in present})
     d = d.withColumns({**{f"{c}_sent_len": tx.sentence_count(c) for c in essays},
                        **{f"{c}_word_len": tx.word_count(c) for c in essays}})
     d = d.withColumns({c: tx.clean_text(c) for c in present})
     d = d.withColumn("all_essays", tx.concat_text(essays))
     d = d.withColumn("all_text", tx.concat_text(["project_title", "all_essays", "project_resource_summary",
                                                  "description"]))
-    overlap = lx.pairwise_overlap(d, present, key)
-    d = d.join(overlap, key, "left")
+    pairs = [(a, b) for i, a in enumerate(present[:-1]) for b in present[i + 1:]]
+    d = d.withColumns({f"{a}_{b}_common": tx.pairwise_overlap_count(a, b) for a, b in pairs})
     if lexicon is not None:
-        scores = lx.lexicon_score(d, essays, lexicon, key=key, cleaned=True)
-        d = d.join(scores, key, "left")
+        means = lx.lexicon_means(d, essays, lexicon, key=key, cleaned=True)
+        d = d.join(means, key, "left")
+        d = d.select(*[c for c in d.columns if c not in ("polarity", "subjectivity")], *lx.rounded_scores())
     if "teacher_prefix" in d.columns:
         d = null_fill(d, {"teacher_prefix": "Teacher"})
     return d

@@ -160,6 +160,20 @@ def q_path_label(spark, sf):
     return p.select("page_id", tx.url_first_segment("url").alias("label"))
 
 
+TEXT_FEATURES = ["id", *[f"{c}_sent_len" for c in ESSAYS], *[f"{c}_word_len" for c in ESSAYS], *T.TEXT_COLS,
+                 "all_essays", "all_text",
+                 *[f"{a}_{b}_common" for i, a in enumerate(T.TEXT_COLS[:-1]) for b in T.TEXT_COLS[i + 1:]],
+                 "polarity", "subjectivity"]
+
+
+@query("text_features")
+def q_text_features(spark, sf):
+    """The text stage of the preprocessing plan end to end (raw counts before cleaning, cleaning,
+    concatenation, pairwise overlaps, lexicon scores), one row per document."""
+    from tessera.plans.preprocess import text_features
+    return text_features(T.essays_v(spark, sf), T.lexicon_v(spark, sf)).select(*TEXT_FEATURES)
+
+
 # ---------------------------------------------------------------- token relations (#43, 51-53)
 
 from tessera.operators import lexicon as lx  # noqa: E402
