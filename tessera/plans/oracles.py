@@ -457,3 +457,8 @@ select raw.*, """ + ", ".join(f"c.{c}" for c in TEXT_COLS) + """,
     f"lambda x: list_contains(string_split_regex(c.{b}, '{_NONWORD}'), x)))) as {a}_{b}_common"
     for a, b in _pairs) + """, lex.polarity, lex.subjectivity
 from raw join cleaned c on raw.id = c.id join lex on raw.id = lex.id"""
+
+ORACLES["label_lookup"] = """
+select '/corpus/' || source || '/' || cast(d.doc_id as varchar) || '.txt' as path,
+       cast(d.doc_id as varchar) as stem, lower(source) as label, l.quality as class
+from documents d left join labels l on d.doc_id = l.doc_id"""

@@ -581,6 +581,18 @@ def q_csv_roundtrip(spark, sf):
     return fs.read_csv(spark, path, ESSAY_CSV_SCHEMA)
 
 
+@query("label_lookup")
+def q_label_lookup(spark, sf):
+    """File listing labelled from a path segment (#6) and joined to a label table on the file stem (#7).
+    The paths are derived from ``documents`` (``/corpus/<source>/<doc_id>.txt``); labels from ``labels``."""
+    d = T.table(spark, sf, "documents")
+    paths = d.select(F.concat_ws("/", F.lit(""), F.lit("corpus"), F.col("source"),
+                                 F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"))
+    listing = fs.label_paths(paths, "path", segment=3)
+    lab = T.table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("breed"))
+    return fs.attach_labels(listing, lab).select("path", "stem", "label", "class")
+
+
 @query("map_column")
 def q_map_column(spark, sf):
     e = T.essays_v(spark, sf).select("id", "project_title")

@@ -40,27 +40,34 @@ def write_embeddings(df: DataFrame, path: str, key: str = "id", vec: str = "vec"
     write_parquet(df.select(key, vec), path)
 
 
-def list_labelled(spark: SparkSession, root: str, glob: str = "*", segment: int = -1, drop: int = 0,
-                  recursive: bool = True) -> DataFrame:
-    """``(path, stem, label)`` for the files under ``root`` matching ``glob``.
+def label_paths(df: DataFrame, path: str = "path", segment: int = -1, drop: int = 0) -> DataFrame:
+    """Add ``stem`` (file name without extension) and ``label`` to a frame of paths.
 
     The label is the ``segment``-th '/'-separated piece of the path (1-based; negative counts from the end),
-    with its first ``drop`` characters removed, lowercased. Only file metadata is read (the ``content``
-    column of the binary file source is pruned).
+    with its first ``drop`` characters removed, lowercased; a missing piece gives null. A projection.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", str(recursive).lower()).load(root).select("path"))
-    parts = F.split(F.col("path"), "/")
+    parts = F.split(F.col(path), "/")
     name = F.element_at(parts, -1)
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
     if segment < 0:
-        piece = F.element_at(parts, segment)
+        piece = F.try_element_at(parts, F.lit(segment))
         label = F.lower(F.substring(piece, drop + 1, 1 << 30))
     else:
-        label = path_segment_label("path", segment, drop)
-    return files.select("path", stem.alias("stem"), label.alias("label"))
+        label = path_segment_label(path, segment, drop)
+    return df.withColumns({"stem": stem, "label": label})
+
+
+def list_labelled(spark: SparkSession, root: str, glob: str = "*", segment: int = -1, drop: int = 0,
+                  recursive: bool = True) -> DataFrame:
+    """``(path, stem, label)`` for the files under ``root`` matching ``glob`` (see :func:`label_paths`).
+    Only file metadata is read (the ``content`` column of the binary file source is pruned)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", str(recursive).lower()).load(root).select("path"))
+    return label_paths(files, "path", segment, drop)
 
 
 def attach_labels(listing: DataFrame, labels: DataFrame, key: str = "id", label_col: str = "breed") -> DataFrame:
-    """Left join a file listing to a ``(key, label)`` table on the file stem."""
-    return listing.join(labels.withColumnRenamed(key, "stem"), "stem", "left").withColumnRenamed(label_col, "class")
+    """Left join a file listing to a ``(key, label)`` table on the file stem (the key compared as text);
+    every file is kept, ``class`` is null for a file without a label row."""
+    lab = labels.select(F.col(key).cast("string").alias("stem"), F.col(label_col).alias("class"))
+    return listing.join(lab, "stem", "left")
