@@ -84,25 +84,26 @@ def embedding_matrix(vocab: DataFrame, vectors: DataFrame, dim: int, num_words:
 def doc_vectors(seqs: DataFrame, vectors_by_rank: DataFrame, key: str = "id", seq_col: str = "seq",
                 dim: int | None = None) -> DataFrame:
     """``(key, vec)``: mean of the token vectors of each sequence (tokens without a vector count as zeros;
-    an empty sequence gives null). ``vectors_by_rank`` is ``(rank, vec)``.
+    an empty sequence gives null). ``vectors_by_rank`` is ``(rank, vec)``; ``dim`` is read from it when not
+    given.
 
-    The per-document sum runs as a JVM aggregate over ml vectors (Summarizer), so dimensions are never
-    exploded into rows. Sequences are co-located by key, so the token rows, their sums and the join back to
-    the sequence lengths stay inside one partition.
+    One aggregate per sequence: the ranks are exploded (an outer explode keeps empty sequences), looked up,
+    and summed as ml vectors by a JVM aggregate (Summarizer), so dimensions are never exploded into rows. A
+    rank without a vector contributes a zero vector (Summarizer takes no nulls). Sequences are co-located by
+    key, so the token rows and their sums stay inside one partition.
     """
+    if dim is None:
+        dim = int(vectors_by_rank.select(F.size("vec")).first()[0])
     s = co_locate(seqs.select(key, seq_col), key)
-    toks = s.select(key, F.explode(seq_col).alias("rank"))
-    n = s.select(key, F.size(seq_col).alias("_n"))
+    toks = s.select(key, F.size(seq_col).alias("_n"), F.explode_outer(seq_col).alias("rank"))
     vec = vectors_by_rank.select("rank", array_to_vector(F.col("vec")).alias("_v"))
-    j = lookup_join(toks, vec, "rank", spread=key)
-    sums = j.groupBy(key).agg(Summarizer.sum(F.col("_v")).alias("_sum"))
-    out = n.join(sums, key, "left")
-    zeros = F.array_repeat(F.lit(0.0), dim) if dim else None
+    j = lookup_join(toks, vec, "rank", how="left", spread=key)
+    zero = array_to_vector(F.array_repeat(F.lit(0.0), dim))
+    sums = j.groupBy(key).agg(F.max("_n").alias("_n"),
+                              Summarizer.sum(F.coalesce(F.col("_v"), zero)).alias("_sum"))
     total = vector_to_array(F.col("_sum"))
-    if zeros is not None:
-        total = F.coalesce(total, zeros)
     mean = F.when(F.col("_n") > 0, F.transform(total, lambda x: x / F.col("_n")))
-    return out.select(key, mean.alias("vec"))
+    return sums.select(key, mean.alias("vec"))
 
 
 # ------------------------------------------------------------------ word-vector text files (#2)
