@@ -20,7 +20,7 @@ HEADLINE = [
     "word_count", "keyword_counts", "token_class_counts", "lexicon_score", "pairwise_overlap", "strip_accents",
     "one_hot", "multi_hot", "target_encode", "minmax_scale", "poly2", "token_vocab", "token_sequences",
     "pad_sequences", "doc_vectors", "term_stats", "top_terms", "tfidf", "embed_text", "kfold_contiguous",
-    "binned_auc", "ensemble_weighted", "score_minmax", "fill_template", "assemble_blocks",
+    "binned_auc", "ensemble_weighted", "score_minmax", "fill_template", "assemble_blocks", "text_features",
 ]
 
 

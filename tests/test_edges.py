@@ -148,3 +148,12 @@ def test_keyword_counts_exact_tokens(spark):
     df = spark.createDataFrame([(1, "book book computer my students")], "id long, t string")
     got = {(r["keyword"], r["count"]) for r in lx.keyword_counts(df, ["t"], lx.REFERENCE_KEYWORDS).collect()}
     assert got == {("book", 2), ("computer", 1)}
+
+
+def test_stop_words_are_the_reference_list(spark):
+    stop = tf.default_stop_words()
+    assert len(stop) == 318 and len(set(stop)) == 318 and list(stop) == sorted(stop)
+    # Words of this list that Spark ML's shorter English list does not have are removed too.
+    df = spark.createDataFrame([(1, "Amongst the hereafter Zebras, we found nothing thereafter")], "id long, t string")
+    got = {r["term"] for r in tf.stopword_ngrams(df, "t", 1, 1).collect()}
+    assert got == {"zebras"}
