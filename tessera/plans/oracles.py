@@ -462,3 +462,19 @@ ORACLES["label_lookup"] = """
 select '/corpus/' || source || '/' || cast(d.doc_id as varchar) || '.txt' as path,
        cast(d.doc_id as varchar) as stem, lower(source) as label, l.quality as class
 from documents d left join labels l on d.doc_id = l.doc_id"""
+
+
+def _ident(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _keyword_matrix_sql() -> str:
+    from tessera.operators.lexicon import REFERENCE_KEYWORDS, TEST_CORPUS_KEYWORDS
+    kws = list(dict.fromkeys(REFERENCE_KEYWORDS + TEST_CORPUS_KEYWORDS))
+    toks = ", ".join(f"list_filter(string_split({c}, ' '), lambda x: x <> '') as {c}" for c in TEXT_COLS)
+    cols = ", ".join(f"cast(len(list_filter({c}, lambda x: x = {_sql_str(k)})) as bigint) as {_ident(f'{c}_{k}_count')}"
+                     for c in TEXT_COLS for k in kws)
+    return with_(ESSAYS_V, CLEANED) + f", t as (select id, {toks} from cleaned)\nselect id, {cols} from t"
+
+
+ORACLES["keyword_matrix"] = _keyword_matrix_sql()

@@ -185,6 +185,12 @@ def q_keyword_counts(spark, sf):
     return lx.keyword_counts(e, T.TEXT_COLS, lx.REFERENCE_KEYWORDS + lx.TEST_CORPUS_KEYWORDS)
 
 
+@query("keyword_matrix")
+def q_keyword_matrix(spark, sf):
+    e = T.essays_v(spark, sf)
+    return lx.keyword_matrix(e, T.TEXT_COLS, lx.REFERENCE_KEYWORDS + lx.TEST_CORPUS_KEYWORDS)
+
+
 @query("token_class_counts")
 def q_token_class_counts(spark, sf):
     return lx.token_class_counts(T.corpus_tokens(spark, sf), T.lexicon_v(spark, sf))
