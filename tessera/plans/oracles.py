@@ -478,3 +478,10 @@ def _keyword_matrix_sql() -> str:
 
 
 ORACLES["keyword_matrix"] = _keyword_matrix_sql()
+
+ORACLES["token_class_matrix"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, LEXICON_V) + """,
+c as (select t.id, t.field, l.class from toks t join lexicon_v l on t.token = l.token)
+select e.id, """ + ", ".join(
+    f"cast(count(*) filter (where c.field = '{f}' and c.class = {k}) as bigint) as {f}_{k}_count"
+    for f in TEXT_COLS for k in range(8)) + """
+from essays_v e left join c on e.id = c.id group by e.id"""

@@ -196,6 +196,12 @@ def q_token_class_counts(spark, sf):
     return lx.token_class_counts(T.corpus_tokens(spark, sf), T.lexicon_v(spark, sf))
 
 
+@query("token_class_matrix")
+def q_token_class_matrix(spark, sf):
+    e = T.essays_v(spark, sf)
+    return lx.token_class_matrix(e, T.TEXT_COLS, T.lexicon_v(spark, sf), [str(k) for k in range(8)])
+
+
 @query("lexicon_score")
 def q_lexicon_score(spark, sf):
     return lx.lexicon_score(T.essays_v(spark, sf), ESSAYS, T.lexicon_v(spark, sf))
