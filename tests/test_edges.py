@@ -157,3 +157,21 @@ def test_stop_words_are_the_reference_list(spark):
     df = spark.createDataFrame([(1, "Amongst the hereafter Zebras, we found nothing thereafter")], "id long, t string")
     got = {r["term"] for r in tf.stopword_ngrams(df, "t", 1, 1).collect()}
     assert got == {"zebras"}
+
+
+def test_keyword_matrix_wide_with_zeros(spark):
+    df = spark.createDataFrame([(1, "book book computer", None), (2, "", "Laptop and a laptop")],
+                               "id long, a string, b string")
+    out = lx.keyword_matrix(df, ["a", "b"], ["book", "laptop", "my students"])
+    assert out.columns == ["id", "a_book_count", "a_laptop_count", "a_my students_count",
+                           "b_book_count", "b_laptop_count", "b_my students_count"]
+    rows = {r["id"]: tuple(r)[1:] for r in out.collect()}
+    assert rows == {1: (2, 0, 0, 0, 0, 0), 2: (0, 0, 0, 0, 2, 0)}
+
+
+def test_token_class_matrix_keeps_rows_without_tokens(spark):
+    df = spark.createDataFrame([(1, "red apple red"), (2, "zz"), (3, None)], "id long, t string")
+    lex = spark.createDataFrame([("red", "ADJ"), ("apple", "NOUN")], "token string, class string")
+    out = lx.token_class_matrix(df, ["t"], lex, ["ADJ", "NOUN", "VERB"])
+    rows = {r["id"]: (r["t_ADJ_count"], r["t_NOUN_count"], r["t_VERB_count"]) for r in out.collect()}
+    assert rows == {1: (2, 1, 0), 2: (0, 0, 0), 3: (0, 0, 0)}
