@@ -67,11 +67,15 @@ def word_count(col) -> Column:
 
 @lru_cache(maxsize=1)
 def _accent_map() -> tuple[str, str]:
-    """Built from a rule: every code point of Latin-1 Supplement and Latin Extended-A/B whose compatibility
-    decomposition, with combining marks removed, is exactly one other character."""
+    """Built from a rule: every assigned code point of the Basic Multilingual Plane whose compatibility
+    decomposition, with combining marks removed, is exactly one other character (accented Latin, Greek
+    and Cyrillic letters, Latin Extended Additional, ...). A decomposition into several characters (a
+    ligature) has no one-to-one replacement and is left as it is."""
     src, dst = [], []
-    for cp in range(0xC0, 0x250):
+    for cp in range(0x80, 0x10000):
         ch = chr(cp)
+        if unicodedata.category(ch) in ("Cs", "Co", "Cn"):
+            continue
         base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if len(base) == 1 and base != ch:
             src.append(ch)

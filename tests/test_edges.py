@@ -39,6 +39,8 @@ def test_counts(spark):
 def test_strip_accents_combining_and_precomposed(spark):
     assert one(spark, tx.strip_accents("t"), "Crème brûlée é") == "Creme brulee e"
     assert one(spark, tx.strip_accents("t"), "straße") == "straße"
+    # Beyond Latin-1: Greek tonos, Cyrillic short i, Vietnamese stacked marks.
+    assert one(spark, tx.strip_accents("t"), "Ελληνικά й Tiếng Việt") == "Ελληνικα и Tieng Viet"
 
 
 def test_pairwise_overlap_empty_pair_counts_one(spark):
