@@ -12,9 +12,15 @@ from pyspark.sql import functions as F
 from tessera.functions.text import path_segment_label
 
 
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Header CSV with quoted, possibly multi-line text fields."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema, multi_line: bool = True) -> DataFrame:
+    """Header CSV with quoted text fields.
+
+    ``multi_line=True`` accepts line breaks inside quoted fields (free text such as essays), but such a file
+    cannot be split: it is read by one task. For large inputs keep many files, or convert them once to
+    Parquet (:func:`write_parquet`) and read that; ``multi_line=False`` reads files split by byte ranges
+    when no field holds a line break.
+    """
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').csv(path))
 
 
