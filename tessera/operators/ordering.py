@@ -53,3 +53,22 @@ def co_locate(df: DataFrame, *keys: str) -> DataFrame:
     here (a document is one row), so no partition receives more than its share of keys.
     """
     return df.repartition(*keys)
+
+
+def global_running_sum(df: DataFrame, order_cols: list, value: str, out: str = "cum") -> DataFrame:
+    """Add ``out`` = the sum of ``value`` over all rows up to and including this one in ``order_cols`` order
+    (which must form a total order). Same plan as :func:`global_row_number`: range-sorted partitions,
+    checkpointed; a running sum inside each partition (a window per partition id, so one partition's rows per
+    task); and per-partition totals turned into offsets (one row per partition, broadcast)."""
+    s = (df.orderBy(*order_cols)
+         .withColumn("_rs_p", F.spark_partition_id())
+         .withColumn("_rs_m", F.monotonically_increasing_id()))
+    s = cut_lineage(s)
+    within = Window.partitionBy("_rs_p").orderBy("_rs_m").rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("_rs_in", F.sum(value).over(within))
+    totals = s.groupBy("_rs_p").agg(F.sum(value).alias("_rs_t"))
+    before = Window.orderBy("_rs_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_rs_p", F.coalesce(F.sum("_rs_t").over(before), F.lit(0)).alias("_rs_off"))
+    return (s.join(F.broadcast(offsets), "_rs_p")
+            .withColumn(out, F.col("_rs_off") + F.col("_rs_in"))
+            .drop("_rs_p", "_rs_m", "_rs_in", "_rs_off"))

@@ -104,3 +104,21 @@ def test_lookup_join_paths_agree(spark):
     assert a == b == c and len(a) == 300
     wide = spark.createDataFrame([(w, [0.0] * 300) for w in ("a", "b")], "word string, vec array<float>")
     assert broadcastable(wide, max_bytes=1 << 20) and not broadcastable(wide, max_bytes=1000)
+
+
+@SET
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 1),
+                          st.one_of(st.none(), st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]))),
+                min_size=1, max_size=60))
+def test_exact_auc_matches_pairwise_count(spark, rows):
+    """Distributed rank-sum AUC equals the brute-force pairwise definition per group (ties count half)."""
+    df = spark.createDataFrame(rows, "g string, y int, s double")
+    got = {r["g"]: r["auc"] for r in mt.binned_auc(df, "y", "s", group="g", method="exact").collect()}
+    for g in {r[0] for r in rows}:
+        pos = [s for gg, y, s in rows if gg == g and y == 1 and s is not None]
+        neg = [s for gg, y, s in rows if gg == g and y == 0 and s is not None]
+        if pos and neg:
+            want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+            assert math.isclose(got[g], want, abs_tol=1e-12), (g, got[g], want)
+        else:
+            assert got.get(g) is None
