@@ -27,7 +27,8 @@ ESSAYS_V = """essays_v as (
          string_split(text, chr(10))[4] as project_essay_3,
          string_split(text, chr(10))[5] as project_essay_4,
          string_split(text, chr(10))[6] as project_resource_summary,
-         string_split(text, chr(10))[7] as description
+         case when len(string_split(text, chr(10))) > 6
+              then array_to_string(string_split(text, chr(10))[7:], chr(10)) end as description
   from documents d left join labels l on d.doc_id = l.doc_id)"""
 
 SCORES_V = """scores_v as (

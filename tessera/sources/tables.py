@@ -49,13 +49,19 @@ def projects_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def essays_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text parents: line k of a document becomes text column k; label from ``labels.quality``."""
+    """Text parents: line k of a document becomes text column k for the first six columns, and the last
+    column (``description``) holds the rest of the document (lines 7 to the end, joined by newlines), so
+    the seven columns together carry the whole text. A column past the end of a document is null. Label
+    from ``labels.quality``."""
     d = table(spark, sf_dir, "documents")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("project_is_approved"))
     lines = F.split(F.col("text"), "\n")
+    last = len(TEXT_COLS) - 1
+    rest = F.when(F.size(lines) > last, F.array_join(F.slice(lines, last + 1, F.size(lines) - last), "\n"))
     return (d.join(lab, "doc_id", "left")
             .select(F.col("doc_id").alias("id"), "lang", "source", "n_chars", "project_is_approved",
-                    *[F.get(lines, k).alias(c) for k, c in enumerate(TEXT_COLS)]))
+                    *[F.get(lines, k).alias(c) for k, c in enumerate(TEXT_COLS[:last])],
+                    rest.alias(TEXT_COLS[last])))
 
 
 def scores_v(spark: SparkSession, sf_dir: str) -> DataFrame:
