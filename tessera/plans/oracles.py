@@ -414,9 +414,13 @@ ORACLES["fill_template"] = with_(ESSAYS_V, SCORES_V, WEIGHTS, BLEND) + """
 select e.id, round(b.score, 6) as project_is_approved
 from essays_v e left join blend b on e.id = b.id where e.project_is_approved is null"""
 
-ORACLES["wide_probs"] = "select vec_id, " + ", ".join(
-    f"round(exp(embedding[{i + 1}]) / (" + " + ".join(f"exp(embedding[{j + 1}])" for j in range(10)) +
-    f"), 6) as class_{i}" for i in range(10)) + " from embeddings"
+_LOGITS = ", ".join(
+    f"list_reduce(list_prepend(0.0::double, [cast(v[j] as double) for j in range({i + 1}, len(v) + 1, 10)]), "
+    f"lambda a, x: a + x) as l{i}" for i in range(10))
+ORACLES["wide_probs"] = f"""with lg as (select vec_id, {_LOGITS} from (select vec_id, embedding as v from embeddings))
+select vec_id, """ + ", ".join(
+    f"round(exp(l{i}) / (" + " + ".join(f"exp(l{j})" for j in range(10)) + f"), 6) as class_{i}"
+    for i in range(10)) + " from lg"
 
 ORACLES["assemble_blocks"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, LEXICON_V) + \
     ", num as (select id, " + ", ".join(f"{e} as {n}" for n, e in _ESSAY_NUM.items()) + " from essays_v),\n" + \

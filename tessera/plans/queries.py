@@ -487,8 +487,12 @@ CLASSES = [f"class_{i}" for i in range(10)]
 
 @query("wide_probs")
 def q_wide_probs(spark, sf):
-    e = T.table(spark, sf, "embeddings")
-    ex = e.select("vec_id", F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double"))).alias("ex"))
+    """Ten class probabilities per stored embedding row: the logit of class i sums the dimensions j with
+    j mod 10 = i (every dimension contributes), softmax, then one column per class."""
+    e = T.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    logit = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.aggregate(
+        F.filter(F.col("v"), lambda x, j: j % 10 == i), F.lit(0.0), lambda acc, x: acc + x))
+    ex = e.select("vec_id", F.transform(logit, lambda x: F.exp(x)).alias("ex"))
     tot = ex.select("vec_id", "ex", F.aggregate("ex", F.lit(0.0), lambda a, x: a + x).alias("t"))
     probs = tot.select("vec_id", F.transform("ex", lambda x: x / F.col("t")).alias("probs"))
     wide = ens.wide_from_array(probs, CLASSES, key="vec_id")
