@@ -46,8 +46,9 @@ def text_features(df: DataFrame, lexicon: DataFrame | None = None, key: str = "i
     shuffle.
     """
     present = [c for c in text_cols if c in df.columns]
-    d = co_locate(null_fill(df, {c: "" for c in present}), key) if lexicon is not None else \
-        null_fill(df, {c: "" for c in present})
+    d = null_fill(df, {c: "" for c in present})
+    if lexicon is not None:  # the lexicon scores aggregate per key and join back inside the partition
+        d = co_locate(d, key)
     d = d.withColumns({**{f"{c}_sent_len": tx.sentence_count(c) for c in essays},
                        **{f"{c}_word_len": tx.word_count(c) for c in essays}})
     d = d.withColumns({c: tx.clean_text(c) for c in present})
