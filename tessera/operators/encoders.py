@@ -2,7 +2,9 @@
 any frame with joins and projections, so rows never seen at fit time are encoded the same way.
 
 Categorical work is done in long form ``(id, feature, value)`` (one ``stack`` per row, no shuffle), so
-the number of categorical columns never widens a plan. Model tables that grow with the data (category
+the number of categorical columns never widens a plan. ``fit`` is an action: the model tables it returns
+(dictionaries, per-category statistics) are written once as tables in the shared checkpoint folder, so each ``transform`` and
+each size check reads them instead of re-running the fit over the training rows. Model tables that grow with the data (category
 dictionaries, per-category statistics) are joined through the size-checked lookup join; models that are a
 fixed handful of numbers per column (min/max bounds, the prior) are collected and inlined as literals.
 """
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.joins import lookup_join
 from tessera.operators.ordering import dense_index_within
+from tessera.session import cut_lineage
 
 
 def to_long(df: DataFrame, cols, key: str = "id", extra: tuple = ()) -> DataFrame:
@@ -64,7 +67,7 @@ class OneHot:
                    .select("feature", "offset"))
         d = idx.join(F.broadcast(offsets), "feature").withColumn("slot", (F.col("offset") + F.col("index"))
                                                                   .cast("int")).drop("offset")
-        return OneHotModel(d, self.cols)
+        return OneHotModel(cut_lineage(d), self.cols)
 
 
 # ------------------------------------------------------------------ multi-hot of comma lists (#58)
@@ -97,7 +100,8 @@ class MultiHot:
                           for c in self.cols])
         distinct = (df.select(F.inline(items)).select("feature", F.explode("items").alias("value"))
                     .distinct())
-        return MultiHotModel(dense_index_within(distinct, "feature", ["value"], out="index"), self.cols, self.sep)
+        vocab = cut_lineage(dense_index_within(distinct, "feature", ["value"], out="index"))
+        return MultiHotModel(vocab, self.cols, self.sep)
 
 
 # ------------------------------------------------------------------ target mean encoding (#28, #57)
@@ -145,7 +149,7 @@ class TargetEncode:
         long = to_long(df, self.cols, key, extra=(self.label,)).where(F.col("value").isNotNull())
         stats = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"),
                                                      F.avg(F.col(self.label).cast("double")).alias("mean"))
-        return TargetEncodeModel(stats, float(prior if prior is not None else math.nan), self.cols,
+        return TargetEncodeModel(cut_lineage(stats), float(prior if prior is not None else math.nan), self.cols,
                                  self.method, self.m, self.min_samples_leaf, self.smoothing)
 
     def fit_transform_out_of_fold(self, df: DataFrame, fold_col: str, key: str = "id") -> DataFrame:

@@ -5,7 +5,7 @@ vector (missing values filled with 0), fits, and returns long scores ``(set, id,
 ``{'train', 'test'}`` and ``score`` = P(class 1). Fitting is the distributed ml implementation (tree
 statistics, gradients and L-BFGS steps are aggregated across partitions); the only driver-side loop is over
 the k folds of the k-fold job, a count fixed by the caller. The assembled train and test frames are
-checkpointed once (compact: id, vector, label), so the iterations and the folds never re-run the feature
+written once to the shared folder (compact: id, vector, label), so the iterations and the folds never re-run the feature
 plan.
 
 Defaults are the reference's settings; scores differ from its libraries by construction.
@@ -49,9 +49,9 @@ def _score_both(model, train: DataFrame, test: DataFrame, key: str, score_expr=N
 
 def _prep(train, test, features, label, key: str = "id", keep=()):
     """Assembled, compact frames ``(key, features, label, *keep)`` and ``(key, features)``, written once as
-    reliable checkpoints in the shared checkpoint folder: iterative fitting, the k-fold loop and scoring
+    tables in the shared checkpoint folder: iterative fitting, the k-fold loop and scoring
     then read them instead of recomputing the feature plan, and a lost executor recomputes from the
-    checkpoint, not from the raw tables."""
+    written table, not from the raw tables."""
     tr = (to_vector(train, features).withColumn("label", F.col(label).cast("double"))
           .select(key, "features", "label", *keep))
     te = to_vector(test, features).select(key, "features")

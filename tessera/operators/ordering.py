@@ -5,7 +5,7 @@ across all partitions, each row gets its partition id and its position within th
 of per-partition counts (one row per partition, so bounded by the partition count and safe to broadcast)
 turns that into a global row number.
 
-The tagged frame is checkpointed into the shared checkpoint folder before it is used twice, so both uses
+The tagged frame is written to the shared checkpoint folder before it is used twice, so both uses
 see the same partition boundaries even if an executor is lost and a stage is recomputed.
 """
 
@@ -58,7 +58,7 @@ def co_locate(df: DataFrame, *keys: str) -> DataFrame:
 def global_running_sum(df: DataFrame, order_cols: list, value: str, out: str = "cum") -> DataFrame:
     """Add ``out`` = the sum of ``value`` over all rows up to and including this one in ``order_cols`` order
     (which must form a total order). Same plan as :func:`global_row_number`: range-sorted partitions,
-    checkpointed; a running sum inside each partition (a window per partition id, so one partition's rows per
+    written to the shared folder; a running sum inside each partition (a window per partition id, so one partition's rows per
     task); and per-partition totals turned into offsets (one row per partition, broadcast)."""
     s = (df.orderBy(*order_cols)
          .withColumn("_rs_p", F.spark_partition_id())

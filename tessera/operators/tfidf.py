@@ -10,9 +10,10 @@ Definition (fit on a corpus of n documents, apply to any documents):
 Physical plan: documents are hash-partitioned by id once (one row per document, the compact form), then
 the n-grams of a document are generated in its row and exploded, and ``groupBy(id, term)`` runs inside the
 partition: the exploded n-grams are never shuffled. Document frequencies are a partial aggregate by term,
-so a term that occurs in every document still costs one row per task. The vocabulary is bounded by
-``max_features`` and broadcast; without a bound it goes through the size-checked lookup join. The l2 norm
-is a window per document (bounded by the document's distinct terms), inside the same partitioning.
+so a term that occurs in every document still costs one row per task. The fitted vocabulary (at most
+``max_features`` terms) is written once to the shared folder and joined through the size-checked lookup join
+(broadcast within the row and byte bounds, salted shuffle beyond). The l2 norm is a window per document
+(bounded by the document's distinct terms), inside the same partitioning.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import strip_accents
 from tessera.operators.joins import lookup_join
 from tessera.operators.ordering import co_locate
+from tessera.session import cut_lineage
 
 
 # The English stop-word list of the reference's TF-IDF (its vectorizer's stop_words='english',
@@ -145,13 +147,12 @@ class TfIdfModel:
     sublinear: bool
     norm: bool
     accents: bool
-    bounded: bool
 
     def transform(self, df: DataFrame, key: str = "id") -> DataFrame:
         """Sparse rows ``(key, term, weight)`` for the vocabulary terms of each document."""
         tf = stopword_ngrams(df, self.col, self.n_min, self.n_max, self.stop, key, self.accents)
         voc = self.vocabulary.select("term", "idf")
-        j = tf.join(F.broadcast(voc), "term") if self.bounded else lookup_join(tf, voc, "term", spread=key)
+        j = lookup_join(tf, voc, "term", spread=key)
         tfw = (F.lit(1.0) + F.log(F.col("tf"))) if self.sublinear else F.col("tf").cast("double")
         w = j.select(key, "term", (tfw * F.col("idf")).alias("weight"))
         if not self.norm:
@@ -182,5 +183,5 @@ class TfIdf:
         if self.max_features is not None:
             st = top_terms(st, self.max_features)
         voc = st.withColumn("idf", F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
-        return TfIdfModel(voc, n, self.col, self.ngram[0], self.ngram[1], self.stop, self.sublinear,
-                          self.norm, self.accents, self.max_features is not None)
+        return TfIdfModel(cut_lineage(voc), n, self.col, self.ngram[0], self.ngram[1], self.stop, self.sublinear,
+                          self.norm, self.accents)

@@ -1,4 +1,4 @@
-"""Session construction and the shared scratch folder."""
+"""Session construction, the shared scratch folder and lineage cuts."""
 
 from __future__ import annotations
 
@@ -16,9 +16,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Lineage cuts are reliable checkpoints in the shared folder; remove their files once the data they hold
-    # is no longer referenced, so repeated jobs do not fill the folder.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -60,11 +57,20 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, f"{name or 'tmp'}-{uuid.uuid4().hex[:12]}")
+    # One folder per application: everything a run wrote can be removed together once the run is over.
+    app = spark.sparkContext.applicationId
+    return os.path.join(base, f"tessera-{app}", f"{name or 'tmp'}-{uuid.uuid4().hex[:12]}")
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
+    """Cut the lineage of ``df``: write it once as a Parquet table in the shared checkpoint folder and read it
+    back (never a local checkpoint, never a machine-local folder on a cluster).
+
+    A written table costs one pass over the plan; ``DataFrame.checkpoint`` would run the plan twice (once for
+    the action, once more to write the checkpoint) unless the frame were also cached. A task that is lost
+    later re-reads the table instead of recomputing the plan from the raw sources.
+    """
     spark = spark or df.sparkSession
-    scratch_dir(spark)  # makes sure a checkpoint folder is registered
-    return df.checkpoint(eager=True)
+    path = scratch_dir(spark, "table")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
