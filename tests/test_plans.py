@@ -82,3 +82,23 @@ def test_lookup_join_broadcast_only_within_bound(spark):
     big = plan(joins.lookup_join(facts, dim, "token", spread="id", max_broadcast_rows=4))
     assert "_salt" in big and any(e.startswith("hashpartitioning(token") and "_salt" in e
                                   for e in exchanges(big)), exchanges(big)
+
+
+def test_global_running_sum_matches_cumulative_sum(spark):
+    from tessera.operators.ordering import global_running_sum
+    vals = [(i, (i * 37) % 11) for i in range(500)]
+    df = spark.createDataFrame(vals, "k long, v long").repartition(7)
+    got = {r["k"]: r["cum"] for r in global_running_sum(df, [F.asc("k")], "v").collect()}
+    total = 0
+    for k, v in vals:
+        total += v
+        assert got[k] == total
+
+
+def test_lineage_cut_is_a_table_in_the_checkpoint_folder(spark):
+    from tessera.session import cut_lineage
+    df = cut_lineage(spark.range(10).withColumn("x", F.col("id") * 2))
+    base = spark.conf.get("spark.checkpoint.dir")
+    files = df.inputFiles()
+    assert files and all(base.rstrip("/") in f for f in files)
+    assert sorted(r["x"] for r in df.collect()) == list(range(0, 20, 2))
