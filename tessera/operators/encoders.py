@@ -170,9 +170,10 @@ class TargetEncode:
         all_rows = fold_tot.agg(F.sum("rows").alias("R"), F.sum("ysum").alias("Y")).first()
         priors = fold_tot.select(fold_col, F.try_divide(F.lit(all_rows["Y"]) - F.col("ysum"),
                                                         F.lit(all_rows["R"]) - F.col("rows")).alias("prior"))
-        j = (to_long(df, self.cols, key, extra=(fold_col,))
-             .join(F.broadcast(priors), fold_col)
-             .join(oof, ["feature", "value", fold_col], "left"))
+        rows = to_long(df, self.cols, key, extra=(fold_col,)).join(F.broadcast(priors), fold_col)  # k rows
+        # Per-(category, fold) statistics grow with the categories: written once, then the size-checked,
+        # salted lookup join (a category holding a third of the rows does not land in one task).
+        j = lookup_join(rows, cut_lineage(oof), ["feature", "value", fold_col], how="left", spread=key)
         n, mean, prior = F.col("n"), F.col("mean"), F.col("prior")
         if self.method == "m":
             enc = (n * mean + F.lit(self.m) * prior) / (n + F.lit(self.m))

@@ -177,3 +177,13 @@ def test_token_class_matrix_keeps_rows_without_tokens(spark):
     out = lx.token_class_matrix(df, ["t"], lex, ["ADJ", "NOUN", "VERB"])
     rows = {r["id"]: (r["t_ADJ_count"], r["t_NOUN_count"], r["t_VERB_count"]) for r in out.collect()}
     assert rows == {1: (2, 1, 0), 2: (0, 0, 0), 3: (0, 0, 0)}
+
+
+def test_target_encoding_out_of_fold_hand_computed(spark):
+    df = spark.createDataFrame([(1, "a", 1, 0), (2, "a", 0, 1), (3, "a", 1, 1), (4, "b", 0, 0)],
+                               "id long, c string, y int, fold int")
+    te = enc.TargetEncode(["c"], "y", method="m", m=1.0)
+    got = {r["id"]: r["encoded"] for r in te.fit_transform_out_of_fold(df, "fold").collect()}
+    # id 1 (fold 0) sees fold 1: a has n=2, mean 0.5, prior 0.5 -> (1 + 0.5) / 3. ids 2, 3 (fold 1) see
+    # fold 0: a has n=1, mean 1, prior 0.5 -> 1.5 / 2. id 4: b never occurs outside its fold -> prior 0.5.
+    assert got == {1: 0.5, 2: 0.75, 3: 0.75, 4: 0.5}
