@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import lookup_join
 from tessera.session import cut_lineage
 
 
@@ -37,7 +38,9 @@ def dense_index_within(df: DataFrame, group: str, order_cols: list, out: str = "
     group into one task: a global row number minus the group's first row number (one row per group)."""
     ranked = global_row_number(df, [group, *order_cols], out="_g_rn")
     first = ranked.groupBy(group).agg(F.min("_g_rn").alias("_g_first"))
-    return (ranked.join(first, group)
+    # One row per group, size-checked and broadcast: a shuffle join on the group key would send every row
+    # of a large group (all values of one high-cardinality feature) to one task.
+    return (lookup_join(ranked, first, group, spread="_g_rn")
             .withColumn(out, (F.col("_g_rn") - F.col("_g_first")).cast("int"))
             .drop("_g_rn", "_g_first"))
 
