@@ -7,7 +7,8 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-SF_SMALL = "/root/testdata/sf0.001"
+# Scale of the oracle and plan tests; TESSERA_TEST_SF=/root/testdata/sf0.01 runs them at the driver's gate scale.
+SF_SMALL = os.environ.get("TESSERA_TEST_SF", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
