@@ -122,3 +122,34 @@ def test_exact_auc_matches_pairwise_count(spark, rows):
             assert math.isclose(got[g], want, abs_tol=1e-12), (g, got[g], want)
         else:
             assert got.get(g) is None
+
+
+def test_transform_of_a_row_does_not_depend_on_the_other_rows(spark):
+    """Fit/transform separation: fitted on the labelled essays, the encoding of a test row is
+    the same whether it is transformed with all test rows or with a subset of them."""
+    from conftest import SF_SMALL
+
+    from tessera.plans import queries as Q
+    from tessera.sources import tables as T
+    e = T.essays_v(spark, SF_SMALL)
+    train = e.where(F.col("project_is_approved").isNotNull())
+    test = e.where(F.col("project_is_approved").isNull())
+    part = test.where(F.col("id") % 3 == 0)
+
+    def same(transform, frame_all, frame_part, cols):
+        whole = {tuple(r) for r in transform(frame_all).select(*cols).collect()}
+        sub = {tuple(r) for r in transform(frame_part).select(*cols).collect()}
+        assert sub and sub <= whole
+
+    oh = enc.OneHot(["lang", "source"]).fit(train)
+    same(oh.transform, test, part, ["id", "feature", "slot"])
+    te = enc.TargetEncode(["lang", "source"], "project_is_approved").fit(train)
+    same(te.transform, test, part, ["id", "feature", "encoded"])
+    mm = enc.MinMax(["n_chars"]).fit(train)
+    same(mm.transform, test, part, ["id", "n_chars"])
+    docs = Q.all_text(spark, SF_SMALL)
+    model = tf.TfIdf("all_text", max_features=500, ngram=(1, 2), min_df=2, max_df=0.9).fit(
+        docs.where(F.col("project_is_approved").isNotNull()))
+    tdocs = docs.where(F.col("project_is_approved").isNull())
+    same(lambda d: model.transform(d).withColumn("weight", F.round("weight", 9)), tdocs,
+         tdocs.where(F.col("id") % 3 == 0), ["id", "term", "weight"])
