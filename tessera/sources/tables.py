@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -88,8 +90,10 @@ def lexicon_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test lexicon: every distinct corpus token with a class and two scores derived from its length."""
     toks = corpus_tokens(spark, sf_dir, by_key=False).select("token").distinct()
     n = F.length("token")
-    return toks.select("token", (n % 8).alias("class"), ((n % 5 - 2) / F.lit(2.0)).alias("polarity"),
-                       ((n % 3) / F.lit(2.0)).alias("subjectivity"))
+    # Written once, like the lexicon file it stands for: the size check and the join then read the table
+    # instead of re-deriving it from the whole corpus.
+    return cut_lineage(toks.select("token", (n % 8).alias("class"), ((n % 5 - 2) / F.lit(2.0)).alias("polarity"),
+                                   ((n % 3) / F.lit(2.0)).alias("subjectivity")))
 
 
 def word_vectors_v(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,5 +103,6 @@ def word_vectors_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = corpus_tokens(spark, sf_dir, by_key=False).groupBy("token").agg(F.count(F.lit(1)).alias("count"))
     ranked = global_row_number(counts, [F.desc("count"), F.asc("token")], out="rank")
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return (ranked.join(emb, ranked["rank"] - 1 == emb["vec_id"])
-            .select(F.col("token").alias("word"), F.col("embedding").alias("vec")))
+    # Written once, like the word-vector file it stands for.
+    return cut_lineage(ranked.join(emb, ranked["rank"] - 1 == emb["vec_id"])
+                       .select(F.col("token").alias("word"), F.col("embedding").alias("vec")))
