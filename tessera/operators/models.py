@@ -49,13 +49,21 @@ def _score_both(model, train: DataFrame, test: DataFrame, key: str, score_expr=N
 
 def _prep(train, test, features, label, key: str = "id", keep=()):
     """Assembled, compact frames ``(key, features, label, *keep)`` and ``(key, features)``, written once as
-    tables in the shared checkpoint folder: iterative fitting, the k-fold loop and scoring
-    then read them instead of recomputing the feature plan, and a lost executor recomputes from the
-    written table, not from the raw tables."""
+    tables in the shared checkpoint folder: iterative fitting, the k-fold loop and scoring then read them
+    instead of recomputing the feature plan, and a lost executor re-reads the written table, not the raw
+    tables.
+
+    Seeded ml sampling (bagging, row subsampling) depends on which partition a row is in and on its position
+    there. A table read back from files comes in file-listing order, which the file system does not fix, so
+    the training rows are put into a layout that depends on the data only: hash-partitioned and sorted by key.
+    """
     tr = (to_vector(train, features).withColumn("label", F.col(label).cast("double"))
           .select(key, "features", "label", *keep))
     te = to_vector(test, features).select(key, "features")
-    return cut_lineage(tr), cut_lineage(te)
+    tr = cut_lineage(tr)
+    # A fixed partition count: AQE does not coalesce it, so the layout cannot follow shuffle byte sizes.
+    n = int(tr.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tr.repartition(n, key).sortWithinPartitions(key), cut_lineage(te)
 
 
 def rf_score(train: DataFrame, test: DataFrame, features, label: str, key: str = "id", max_depth: int = 20,
