@@ -20,11 +20,6 @@ DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 DEFAULT_SALT = 16
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most ``n + 1`` rows."""
-    return df.limit(n + 1).count() <= n
-
-
 # Fixed-width types: bytes per value (an in-memory row also carries a null bitmap and offsets, counted
 # as a flat 16 bytes per row).
 _FIXED_BYTES = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
