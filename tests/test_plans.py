@@ -102,3 +102,19 @@ def test_lineage_cut_is_a_table_in_the_checkpoint_folder(spark):
     files = df.inputFiles()
     assert files and all(base.rstrip("/") in f for f in files)
     assert sorted(r["x"] for r in df.collect()) == list(range(0, 20, 2))
+
+
+def test_keyword_matrix_needs_no_shuffle(spark):
+    from tessera.operators import lexicon as lx
+    e = T.essays_v(spark, SF_SMALL)
+    p = plan(lx.keyword_matrix(e, T.TEXT_COLS, lx.REFERENCE_KEYWORDS))
+    assert [e for e in exchanges(p) if e.startswith("hashpartitioning")] == []
+
+
+def test_text_feature_stage_shuffles_documents_only_by_id(spark):
+    from tessera.plans.preprocess import text_features
+    p = plan(text_features(T.essays_v(spark, SF_SMALL), T.lexicon_v(spark, SF_SMALL)))
+    hashed = [e for e in exchanges(p) if e.startswith("hashpartitioning")]
+    # The rows and the lexicon branch are co-located by id; the lexicon table itself is written once and
+    # broadcast, so no exchange is keyed by token.
+    assert hashed and all(e.startswith("hashpartitioning(id") for e in hashed), hashed
