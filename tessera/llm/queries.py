@@ -8,9 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.bpe import op3_bpe
+from tessera.llm.covertree import OP8_SQL, op8_covertree
+from tessera.llm.decontam import OP9_SQL, op9_decontam
+from tessera.llm.kneser_ney import op1_kneser_ney
+from tessera.llm.langid import op5_langid
+from tessera.llm.simhash import op4_simhash
+from tessera.llm.warc import OP10_SQL, op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op3_bpe": op3_bpe,
+    "op4_simhash": op4_simhash,
+    "op5_langid": op5_langid,
+    "op8_covertree": op8_covertree,
+    "op9_decontam": op9_decontam,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_covertree": OP8_SQL, "op9_decontam": OP9_SQL, "op10_warc": OP10_SQL}

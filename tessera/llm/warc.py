@@ -241,3 +241,12 @@ def op10_warc(spark, sf_dir: str) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     return (read(manifest, id_type=kind, payloads=False).where("payload_digest is not null")
             .select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to").distinct())
+
+
+OP10_SQL = """
+with p as (select page_id, coalesce(html, '') h, cast(octet_length(encode(coalesce(html, ''))) as bigint) n from pages),
+g as (select h, min(page_id) first from p where n >= 100 group by h)
+select page_id, n payload_bytes, sha256(p.h) payload_digest, case when first <> page_id then 'revisit' else 'response' end record_type,
+       case when first <> page_id then first end refers_to
+from p left join g on p.h = g.h
+"""
