@@ -21,7 +21,6 @@ def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)`` but the smallest of each component, which is the
     component's id. Loops, repeated and null edges are harmless; without edges the result is empty."""
     a, b = F.least("a", "b"), F.greatest("a", "b")
-    kind = edges.schema["a"].dataType
     left = cut_lineage(edges.where("a <> b").select(a.alias("a"), b.alias("b")).distinct())
     rounds = []
     while not left.isEmpty():
@@ -41,7 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
         ends = to_roots.join(pb, "b", "left").select("a", F.coalesce("_rb", "b").alias("b")).where("a <> b")
         left = cut_lineage(ends.select(a.alias("a"), b.alias("b")).distinct())
     if not rounds:
-        return edges.sparkSession.createDataFrame([], f"node {kind.simpleString()}, component {kind.simpleString()}")
+        return edges.where(F.lit(False)).select(F.col("a").alias("node"), F.col("a").alias("component"))
     out = rounds.pop().select("node", F.col("root").alias("component"))
     while rounds:  # a root of an earlier round may have been hooked in a later one
         later = out.select(F.col("node").alias("_n"), F.col("component").alias("_c"))

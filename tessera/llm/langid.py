@@ -173,6 +173,21 @@ def identify(df: DataFrame, model: Model, text: str = "text", id_col: str = "doc
     return df.select(F.col(id_col), F.col(text)).mapInArrow(run, T.StructType(kinds))
 
 
+def accepted(df: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:
+    """The rows of ``df``, with all their columns, whose language is known with a score of at least ``least``."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep: list[bool] = []
+            for _, texts in packs([None] * batch.num_rows, batch.column(at).to_pylist(), 1_000_000):
+                keep += [name != UND and score >= least for name, score, _ in sent.value.predict(texts)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def op5_langid(spark, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents of the other three quarters."""
     docs = table(spark, sf_dir, "documents")

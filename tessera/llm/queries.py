@@ -12,14 +12,20 @@ from tessera.llm.covertree import OP8_SQL, op8_covertree
 from tessera.llm.decontam import OP9_SQL, op9_decontam
 from tessera.llm.kneser_ney import op1_kneser_ney
 from tessera.llm.langid import op5_langid
+from tessera.llm.linededup import op2_linededup
+from tessera.llm.pii import op6_pii
 from tessera.llm.simhash import op4_simhash
+from tessera.llm.toxicity import op7_toxicity
 from tessera.llm.warc import OP10_SQL, op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op2_linededup": op2_linededup,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_langid": op5_langid,
+    "op6_pii": op6_pii,
+    "op7_toxicity": op7_toxicity,
     "op8_covertree": op8_covertree,
     "op9_decontam": op9_decontam,
     "op10_warc": op10_warc,
