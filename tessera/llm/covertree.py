@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import table
 
 QUERY_BLOCK, DATA_BLOCK = 4096, 4096
-LEAF, FANOUT = 64, 16
+LEAF, FANOUT = 512, 16
 LOWEST = np.iinfo(np.int64).min
 
 
@@ -99,20 +99,30 @@ class Search:
                 self.leaves(a, nodes[i])
 
     def leaves(self, a: Node, b: Node) -> None:
+        """Merge the scores of two leaves that reach the queries' kth into their best."""
         s = (self.exact[0][a.rows] @ self.exact[1][b.rows].T).astype(np.int64)
         ids = self.x_ids[b.rows]
         s[self.q_ids[a.rows][:, None] == ids[None, :]] = LOWEST
-        some = (s >= self.score[a.rows, -1][:, None]).any(1)
-        rows = a.rows[some]
-        if len(rows):
-            score = np.concatenate([self.score[rows], s[some]], axis=1)
-            best = np.concatenate([self.best[rows], np.broadcast_to(ids, (len(rows), len(ids)))], axis=1)
-            order = np.lexsort((best, -(score + 1)), axis=1)[:, : self.k]  # + 1: the lowest integer has no negative
-            self.score[rows] = np.take_along_axis(score, order, 1)
-            self.best[rows] = np.take_along_axis(best, order, 1)
+        row, col = np.nonzero((s >= self.score[a.rows, -1][:, None]) & (s > LOWEST))
+        if len(row):
+            some = np.unique(row)
+            rows = a.rows[some]
+            at = np.concatenate([np.repeat(np.arange(len(some)), self.k), np.searchsorted(some, row)])
+            score = np.concatenate([self.score[rows].ravel(), s[row, col]])
+            best = np.concatenate([self.best[rows].ravel(), ids[col]])
+            order = np.lexsort((best, -(score + 1), at))  # + 1: the lowest integer has no negative
+            first = np.searchsorted(at[order], np.arange(len(some)))
+            take = order[first[:, None] + np.arange(self.k)]
+            self.score[rows], self.best[rows] = score[take], best[take]
         a.worst = int(self.score[a.rows, -1].min())
 
 
+def distinct(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the rows that repeat an id and vector."""
+    rows = np.unique(np.column_stack([ids, vectors]), axis=0)
+    return rows[:, 0], rows[:, 1:]
+
+
 def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     rows = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     out = np.zeros((len(rows), width), np.int64)
@@ -144,7 +154,7 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = 20, id_col: str = "vec_i
         if not a.num_rows or not b.num_rows:
             return schema.empty_table()
         width = max(max(len(v) for v in t.column("v")) for t in (a, b))
-        got = Search(a.column("id").to_numpy(), matrix(a.column("v"), width), b.column("id").to_numpy(), matrix(b.column("v"), width), k)
+        got = Search(*distinct(a.column("id").to_numpy(), matrix(a.column("v"), width)), *distinct(b.column("id").to_numpy(), matrix(b.column("v"), width)), k)
         real = got.score.ravel() != LOWEST
         return pa.table([np.repeat(got.q_ids, k)[real], got.best.ravel()[real], got.score.ravel()[real]], schema=schema)
 

@@ -39,7 +39,7 @@ U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 END, START = U(0xE5D0_0000_0000_0001), U(0x57A7_0000_0000_0003)
-FLUSH = 3_000_000
+FLUSH = 1_000_000
 GRAMS, CONTEXTS, WORDS = 0, 1, 2
 IS_SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 ZSTD = pa.Codec("zstd", 1)
@@ -186,7 +186,7 @@ def count(docs: DataFrame, text: str, order: int, shards: int) -> DataFrame:
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[list]:
         held, size = [], 0
         for batch in source:
-            for _, texts in packs([None] * batch.num_rows, batch.column(0).to_pylist()):
+            for _, texts in packs([None] * batch.num_rows, batch.column(0).to_pylist(), 1_000_000):
                 for seq, at, _ in sequences(texts, order):
                     held.append([*contexts(seq, at, order), seq[at]])
                     size += len(at)
@@ -395,7 +395,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             arrow = pa.schema([batch.schema.field(0), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("perplexity", pa.float64())])
-            for keys, texts in packs(batch.column(0).to_pylist(), batch.column(1).to_pylist(), 4_000_000):
+            for keys, texts in packs(batch.column(0).to_pylist(), batch.column(1).to_pylist(), 1_000_000):
                 n, known, base, own = sent.value.score(texts)
                 yield batch_of(arrow, [keys, n, known, base, own, 10 ** np.minimum(-own / n, 300)])
 
