@@ -63,14 +63,16 @@ def powers(n: int, held: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B
     return held["up"][:n], held["down"][:n]
 
 
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of each word. A word's hash is a polynomial of its bytes, from differences of a
-    running sum, and its length."""
+def word_hashes(raw: bytes, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of each word, or of its first ``most`` bytes. A word's hash is a polynomial of its bytes,
+    from differences of a running sum, and its length."""
     b = np.frombuffer(raw, np.uint8)
     gap = np.ones(len(b) + 2, bool)
     gap[1:-1] = IS_SPACE[b]
     edge = np.flatnonzero(gap[1:] != gap[:-1])
     first, stop = edge[::2], edge[1::2]
+    if most:
+        stop = np.minimum(stop, first + most)
     up, down = powers(len(b) + 1)
     total = np.zeros(len(b) + 1, U)
     np.cumsum((b + U(1)) * up[:-1], out=total[1:])

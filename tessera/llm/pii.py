@@ -210,16 +210,16 @@ def replace(docs: DataFrame, key: str, text: str = "text", id_col: str = "doc_id
     new = seen.join(near, ["type", "role", "norm"], "left").select(
         "doc", "text_hash", "at", "part", "type", F.coalesce(shaped(F.col("type"), F.col("raw"), F.col("new")), "raw").alias("new"), "head")
     words = F.transform(F.array_sort(F.collect_set(F.struct("at", "part", "head", "new", "type"))), lambda x: x)
-    each = new.groupBy("doc", "text_hash").agg(words.alias("parts"))
+    each = new.groupBy("doc", "text_hash").agg(words.alias("_parts"))
     # A mention's parts follow each other; those after the first are joined on without a piece of text between.
-    per = cut_lineage(each.select("doc", "text_hash", "parts"))
+    per = cut_lineage(each.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "_parts"))
     side = F.broadcast(per) if broadcastable(per, 500_000, 64 << 20) else per
-    mine = docs[id_col].eqNullSafe(F.col("doc")) & (F.xxhash64(docs[text]) == F.col("text_hash"))
-    both = docs.join(side, mine, "left").select(*[docs[c] for c in docs.columns], "parts", F.when(F.col("parts").isNotNull(), F.split(docs[text], ANY, -1)).alias("gaps"))
-    filled = F.transform("parts", lambda p: F.concat(F.when(p["part"] == 0, F.get(F.col("gaps"), p["at"])).otherwise(""), p["head"], p["new"]))
-    clean = F.concat(F.array_join(filled, ""), F.element_at("gaps", -1))
-    named = F.transform(F.filter("parts", lambda p: p["type"].isNotNull()), lambda p: F.struct(p["type"].alias("type"), p["new"].alias("surrogate")))
-    return both.select(*docs.columns, F.when(F.col("parts").isNull(), F.col(text)).otherwise(clean).alias("_clean"),
+    mine = docs[id_col].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs[text]) == F.col("_hash"))
+    both = docs.join(side, mine, "left").select(*[docs[c] for c in docs.columns], "_parts", F.when(F.col("_parts").isNotNull(), F.split(docs[text], ANY, -1)).alias("_gaps"))
+    filled = F.transform("_parts", lambda p: F.concat(F.when(p["part"] == 0, F.get(F.col("_gaps"), p["at"])).otherwise(""), p["head"], p["new"]))
+    clean = F.concat(F.array_join(filled, ""), F.element_at("_gaps", -1))
+    named = F.transform(F.filter("_parts", lambda p: p["type"].isNotNull()), lambda p: F.struct(p["type"].alias("type"), p["new"].alias("surrogate")))
+    return both.select(*docs.columns, F.when(F.col("_parts").isNull(), F.col(text)).otherwise(clean).alias("_clean"),
                        F.coalesce(named, F.array().cast("array<struct<type:string,surrogate:string>>")).alias("_found"))
 
 

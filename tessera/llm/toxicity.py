@@ -33,14 +33,23 @@ from tessera.operators.joins import broadcastable
 from tessera.session import cut_lineage
 
 FEATURES, SAMPLE, FOLDS = 1000, 20_000, 5
+#: The least log-likelihood ratio of a feature word; chance gives less but for one word in some thousands.
+LEAST = 4.0
 U = np.uint64
+#: What is no ASCII punctuation counts as a space.
+MARKS = bytes(c if 33 <= c < 127 and not chr(c).isalnum() else 32 for c in range(256))
 
 
 def document_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, word hash)``, distinct, sorted by row. Words are runs of letters, lower-cased."""
-    raw = [t.lower().encode().translate(PLAIN) for t in texts]
-    hashes, first = word_hashes(b"\n".join(raw))
-    row = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), first, "right")
+    """``(row, word hash)``, distinct, sorted by row. Words are runs of letters, lower-cased, their beginnings (which
+    inflected forms share), and runs of marks."""
+    rows, found = [], []
+    for kept, most, salt in ((PLAIN, None, U(0)), (PLAIN, 5, U(1)), (PLAIN, 6, U(1)), (MARKS, None, U(2))):
+        raw = [t.lower().encode().translate(kept) for t in texts]
+        h, first = word_hashes(b"\n".join(raw), most)
+        rows.append(np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), first, "right"))
+        found.append(h ^ salt)
+    row, hashes = np.concatenate(rows), np.concatenate(found)
     order = np.lexsort((hashes, row))
     row, hashes = row[order], hashes[order]
     new = np.append(True, (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])) if len(row) else np.empty(0, bool)
@@ -179,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], tex
     for i in range(k):
         value = ratio(F.col(f"n{i}"), F.col(f"n{k + i}"), totals[f"n{i}"], totals[f"p{i}"])
         # A word of one document says nothing about others.
-        picked |= {r["word"] for r in counts.where(F.col(f"n{i}") > 1).orderBy(F.desc(value), "word").limit(features).select("word").collect()}
+        picked |= {r["word"] for r in counts.where(F.col(f"n{i}") > 1).where(value >= LEAST).orderBy(F.desc(value), "word").limit(features).select("word").collect()}
     words = np.sort(np.array(sorted(picked), np.int64).view(U))
     chain = Chain(words, [])
 
