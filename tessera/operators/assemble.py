@@ -28,16 +28,21 @@ def split_by_presence(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(p), df.filter(~p)
 
 
-def assemble_blocks(key: str, blocks, how: str = "inner", out: str = "features") -> tuple[DataFrame, list[str]]:
+def assemble_blocks(key: str, blocks, spine: DataFrame | None = None, out: str = "features") -> tuple[DataFrame, list[str]]:
     """Bind feature blocks by key (never by row position) into one ``array<double>`` column.
 
-    ``blocks`` is a list of ``(frame, [columns])``, each frame one row per key. Returns the assembled frame
-    ``(key, features)`` and the slot names in order (block order, then column order). Blocks that are
-    aggregates keyed by ``key`` are already hash-partitioned on it, so their joins reuse that partitioning.
+    ``blocks`` is a list of ``(frame, [columns])`` or ``(frame, [columns], fill)``, each frame one row per key.
+    Every key of ``spine`` (default: the first block) has a row; a block without that key gives its ``fill``
+    (default null). Returns the assembled frame ``(key, features)`` and the slot names in order (block order,
+    then column order). Blocks that are aggregates keyed by ``key`` are already hash-partitioned on it, so
+    their joins reuse that partitioning.
     """
-    df, names = None, []
-    for frame, cols in blocks:
-        part = frame.select(key, *[F.col(c).cast("double").alias(c) for c in cols])
-        df = part if df is None else df.join(part, key, how)
+    df, names = (blocks[0][0] if spine is None else spine).select(key), []
+    for frame, cols, *fill in blocks:
+        part = frame.select(key, *[F.col(c).cast("double").alias(c) for c in cols], F.lit(True).alias("_has"))
+        df = part.drop("_has") if spine is None and not names and not fill else df.join(part, key, "left")
+        if fill:
+            df = df.withColumns({c: F.when(F.col("_has"), F.col(c)).otherwise(F.lit(float(fill[0]))) for c in cols})
+        df = df.drop("_has")
         names += list(cols)
     return df.select(key, F.array(*[F.col(c) for c in names]).alias(out)), names

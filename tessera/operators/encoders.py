@@ -12,6 +12,7 @@ fixed handful of numbers per column (min/max bounds, the prior) are collected an
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -74,7 +75,7 @@ class OneHot:
 
 def split_list(col, sep: str = ",") -> "F.Column":
     """Lowercase, split on ``sep``, trim each item; empty items are kept as ''. Distinct items."""
-    return F.array_distinct(F.transform(F.split(F.lower(F.col(col)), sep), lambda t: F.trim(t)))
+    return F.array_distinct(F.transform(F.split(F.lower(F.col(col)), re.escape(sep)), lambda t: F.trim(t)))
 
 
 @dataclass
@@ -147,7 +148,7 @@ class TargetEncode:
         y = F.col(self.label).cast("double")
         prior = df.select(F.avg(y)).first()[0]
         long = to_long(df, self.cols, key, extra=(self.label,)).where(F.col("value").isNotNull())
-        stats = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"),
+        stats = long.groupBy("feature", "value").agg(F.count(self.label).alias("n"),  # labelled rows only
                                                      F.avg(F.col(self.label).cast("double")).alias("mean"))
         return TargetEncodeModel(cut_lineage(stats), float(prior if prior is not None else math.nan), self.cols,
                                  self.method, self.m, self.min_samples_leaf, self.smoothing)
@@ -160,10 +161,10 @@ class TargetEncode:
         """
         y = F.col(self.label).cast("double")
         long = to_long(df, self.cols, key, extra=(self.label, fold_col)).where(F.col("value").isNotNull())
-        per_fold = long.groupBy("feature", "value", fold_col).agg(F.count(F.lit(1)).alias("nf"),
-                                                                  F.sum(y).alias("sf"))
+        per_fold = long.groupBy("feature", "value", fold_col).agg(F.count(y).alias("nf"),
+                                                                  F.coalesce(F.sum(y), F.lit(0.0)).alias("sf"))
         totals = per_fold.groupBy("feature", "value").agg(F.sum("nf").alias("nt"), F.sum("sf").alias("st"))
-        fold_tot = df.groupBy(fold_col).agg(F.count(F.lit(1)).alias("rows"), F.sum(y).alias("ysum"))
+        fold_tot = df.groupBy(fold_col).agg(F.count(y).alias("rows"), F.coalesce(F.sum(y), F.lit(0.0)).alias("ysum"))
         oof = (per_fold.join(totals, ["feature", "value"])
                .select("feature", "value", fold_col, (F.col("nt") - F.col("nf")).alias("n"),
                        F.try_divide(F.col("st") - F.col("sf"), F.col("nt") - F.col("nf")).alias("mean")))

@@ -40,8 +40,10 @@ def power_weights(spark, leaderboard: dict, power: float = 75.0) -> DataFrame:
 
 
 def ensemble_weighted(long: DataFrame, weights: DataFrame) -> DataFrame:
-    """sum(w * score) / sum(w) per id; ``weights`` is ``(model, w)`` with one row per model."""
-    j = long.join(F.broadcast(weights), "model")
+    """sum(w * score) / sum(w) per id; ``weights`` is ``(model, w)`` with one row per model. A model without a
+    weight is an error, raised when the plan runs."""
+    missing = F.raise_error(F.concat(F.lit("no weight for model "), F.col("model"))).cast("double")
+    j = long.join(F.broadcast(weights), "model", "left").withColumn("w", F.coalesce(F.col("w"), missing))
     return j.groupBy("id").agg((F.sum(F.col("w") * F.col("score")) / F.sum("w")).alias("score"))
 
 
@@ -66,12 +68,6 @@ def fill_template(template: DataFrame, scores: DataFrame, key: str = "id", col:
     return template.join(s, key, "left").withColumn(col, F.col("_new")).drop("_new")
 
 
-def wide_probs(long: DataFrame, classes: list[str], key: str = "id", cls: str = "class",
-               prob: str = "prob") -> DataFrame:
-    """Long ``(id, class, prob)`` -> one column per class, in the given class order."""
-    return long.groupBy(key).pivot(cls, classes).agg(F.first(prob))
-
-
 def wide_from_array(df: DataFrame, classes: list[str], key: str = "id", probs: str = "probs") -> DataFrame:
     """``(id, probs array)`` with probs[i] for class i -> one column per class (a projection, no shuffle)."""
     return df.select(key, *[F.col(probs)[i].alias(c) for i, c in enumerate(classes)])

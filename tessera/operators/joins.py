@@ -4,7 +4,7 @@ A fact stream of tokens is heavily skewed on the join key (a few words make up a
 tokens), and a dimension table such as a lexicon or a vocabulary grows with the corpus. So:
 
 * the dimension is broadcast only after its row count and its byte size are measured against a row limit
-  and a byte budget (one pass over at most ``n + 1`` rows: ``limit(n+1)`` stops reading past the bound);
+  and a byte budget (one partially aggregated pass over the table, which callers write before they ask);
 * otherwise the join is a shuffle join with the fact side salted by a hash of a spreading column and the
   dimension rows replicated once per salt value, so one hot key is split over ``salt`` tasks instead of one.
 """
@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
-DEFAULT_SALT = 16
 
 
 # Fixed-width types: bytes per value (an in-memory row also carries a null bitmap and offsets, counted
@@ -46,26 +45,27 @@ def _value_bytes(c, t) -> "F.Column":
     return F.lit(_FIXED_BYTES.get(type(t), 8))
 
 
-def measured_size(df: DataFrame, limit: int) -> tuple[int, int]:
-    """``(rows, bytes)`` over the first ``limit`` rows of ``df``, in one job that reads no further."""
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """``(rows, bytes)`` of ``df``: sums combined in each task, so one row per task is shuffled. A limit would send
+    the rows themselves to a single task."""
     width = sum((_value_bytes(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16))
-    r = df.limit(limit).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return int(r["n"]), int(r["b"] or 0)
 
 
 def broadcastable(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     """True when ``dim`` has at most ``max_rows`` rows holding at most ``max_bytes`` bytes, measured on the
-    data itself (at most ``max_rows + 1`` rows are read)."""
+    data itself."""
     if max_rows <= 0 or max_bytes <= 0:
         return False
-    n, b = measured_size(dim, max_rows + 1)
+    n, b = measured_size(dim)
     return n <= max_rows and b <= max_bytes
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner",
                 spread: str | None = None, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                salt: int = DEFAULT_SALT, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                salt: int | None = None, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Equi-join ``facts`` to ``dim`` (``how`` in inner/left), robust to hot keys on the fact side.
 
     ``spread`` names a fact column with many distinct values (e.g. the document id) used to salt; without it
@@ -75,6 +75,8 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str
     keys = [on] if isinstance(on, str) else list(on)
     if broadcastable(dim, max_broadcast_rows, max_broadcast_bytes):
         return facts.join(F.broadcast(dim), keys, how)
+    # As many salts as shuffle partitions: a key with any share of the rows can reach every task.
+    salt = salt or max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread_cols = [F.col(spread)] if spread else [F.col(c) for c in facts.columns]
     f = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_cols), F.lit(salt)).cast("int"))
     d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))

@@ -22,11 +22,12 @@ from tessera.operators.ordering import global_running_sum
 
 def score_bucket(score, bins: int) -> "F.Column":
     """Index of the highest threshold k/(bins-1) that ``score`` reaches; -1 when it reaches none (score < 0,
-    NaN or null). The floor is corrected by one step where float rounding put it just below a threshold."""
+    NaN or null). The floor is corrected by one step either way where rounding of the product crossed a
+    threshold; thresholds are the quotients k/(bins-1) themselves."""
     s = F.col(score) if isinstance(score, str) else score
     m = bins - 1
     b = F.floor(s * F.lit(m))
-    b = F.when(((b + 1) / F.lit(m)) <= s, b + 1).otherwise(b)
+    b = F.when(((b + 1) / F.lit(m)) <= s, b + 1).when(b / F.lit(m) > s, b - 1).otherwise(b)
     b = F.least(b, F.lit(m))
     return F.when(s.isNull() | F.isnan(s) | (s < 0), F.lit(-1)).otherwise(b).cast("int")
 

@@ -18,13 +18,12 @@ from tessera.operators.joins import lookup_join
 from tessera.session import cut_lineage
 
 
-def global_row_number(df: DataFrame, order_cols: list, out: str = "rn", materialize: bool = True) -> DataFrame:
+def global_row_number(df: DataFrame, order_cols: list, out: str = "rn") -> DataFrame:
     """Add ``out`` = 1..n following ``order_cols`` (which must form a total order for determinism)."""
     s = (df.orderBy(*order_cols)
          .withColumn("_rn_p", F.spark_partition_id())
          .withColumn("_rn_m", F.monotonically_increasing_id()))
-    if materialize:
-        s = cut_lineage(s)
+    s = cut_lineage(s)
     counts = s.groupBy("_rn_p").agg(F.count(F.lit(1)).alias("_rn_n"), F.min("_rn_m").alias("_rn_m0"))
     before = Window.orderBy("_rn_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_rn_p", "_rn_m0", F.coalesce(F.sum("_rn_n").over(before), F.lit(0)).alias("_rn_off"))

@@ -18,10 +18,6 @@ so a term that occurs in every document still costs one row per task. The fitted
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -63,21 +59,6 @@ def default_stop_words() -> tuple:
     return ENGLISH_STOP_WORDS
 
 
-@functools.lru_cache(maxsize=8)
-def spark_stop_words(language: str = "english") -> tuple:
-    """Spark ML's stop-word list for ``language`` (181 words for English), read from the mllib jar that ships
-    with PySpark; pass it as ``stop=`` for another language or Spark's own English list."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
-    from pyspark.ml.feature import StopWordsRemover
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
-
-
 def analyzer_tokens(col, accents: bool = True) -> "F.Column":
     """Lowercase, strip accents, runs of word characters (single characters included)."""
     c = F.col(col) if isinstance(col, str) else col
@@ -87,22 +68,6 @@ def analyzer_tokens(col, accents: bool = True) -> "F.Column":
     return F.regexp_extract_all(t, F.lit(r"(?U)\w+"), 0)
 
 
-def ngrams(tokens, n_min: int = 1, n_max: int = 1) -> "F.Column":
-    """``tokens`` should be a column reference (not an expression), since it is read once per n-gram.
-    All n-grams for n in ``n_min..n_max`` joined by a space, in (n, position) order; a text with fewer
-    than n tokens contributes no n-gram of that size."""
-    def gram(n):
-        # A factory, not a default argument: Spark reads a lambda's second parameter as the element index.
-        return lambda i: F.array_join(F.slice(tokens, i, n), " ")
-
-    per_n = []
-    for n in range(n_min, n_max + 1):
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1)) \
-            .otherwise(F.array().cast("array<int>"))
-        per_n.append(F.transform(starts, gram(n)))
-    return F.concat(*per_n) if len(per_n) > 1 else per_n[0]
-
-
 def stopword_ngrams(df: DataFrame, col: str, n_min: int = 1, n_max: int = 1, stop=None, key: str = "id",
                     accents: bool = True) -> DataFrame:
     """Per-document term counts ``(key, term, tf)`` after stop-word removal and n-gram generation."""

@@ -69,11 +69,13 @@ def pad_sequences(df: DataFrame, col: str = "seq", maxlen: int = 300, out: str |
     return df.withColumn(out or col, padded)
 
 
-def embedding_matrix(vocab: DataFrame, vectors: DataFrame, dim: int, num_words: int = 100000) -> DataFrame:
+def embedding_matrix(vocab: DataFrame, vectors: DataFrame, dim: int, num_words: int | None = None) -> DataFrame:
     """``(row, token, vec)``: row i holds the vector of the token ranked i; row 0 and tokens without a
-    vector hold zeros. Rows 0 .. min(num_words, vocabulary size + 1) - 1."""
+    vector hold zeros. Rows 0 .. vocabulary size, or 0 .. ``num_words`` - 1 when that is given and smaller."""
     zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    v = vocab.where(F.col("rank") < num_words).select(F.col("rank").alias("row"), "token")
+    if num_words is not None:
+        vocab = vocab.where(F.col("rank") < num_words)
+    v = vocab.select(F.col("rank").alias("row"), "token")
     j = lookup_join(v, vectors.select(F.col("word").alias("token"), "vec"), "token", how="left", spread="row")
     body = j.select("row", "token", F.coalesce(F.col("vec"), zeros).alias("vec"))
     row0 = vocab.limit(1).select(F.lit(0).cast("long").alias("row"), F.lit(None).cast("string").alias("token"),
@@ -134,30 +136,34 @@ def format_vector_lines(df: DataFrame, word: str = "word", vec: str = "vec") ->
 def embed_text(df: DataFrame, cols, encoder=None, dim: int = 64, key: str = "id", out: str = "vec") -> DataFrame:
     """One vector per text column, concatenated per row (column order kept).
 
-    ``encoder=None``: the native encoder, hashed term counts of the cleaned tokens (``HashingTF`` with ``dim``
-    buckets) l2-normalised per column (``Normalizer``), all JVM-side and O(tokens) per text.
-    Otherwise ``encoder`` is a Python callable ``list[str] -> list[list[float]]`` (e.g. a local sentence
-    encoder) run batch-wise through an Arrow-backed pandas UDF.
+    ``encoder=None``: the native encoder, signed hashed term counts of the cleaned tokens: the first eight hex
+    digits of a token's MD5 give its bucket (modulo ``dim``), the ninth its sign; l2-normalised per column.
+    Otherwise ``encoder`` is a factory: called once in each worker, it returns a callable
+    ``list[str] -> list[list[float]]`` (e.g. a local sentence encoder), run over Arrow batches.
     """
     if encoder is None:
-        from pyspark.ml import Pipeline
-        from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
-
         from tessera.functions.text import clean_tokens
-        toks = df.select(key, *[clean_tokens(c).alias(f"_t{i}") for i, c in enumerate(cols)])
-        stages = []
-        for i in range(len(cols)):
-            stages += [HashingTF(inputCol=f"_t{i}", outputCol=f"_h{i}", numFeatures=dim),
-                       Normalizer(inputCol=f"_h{i}", outputCol=f"_n{i}", p=2.0)]
-        stages.append(VectorAssembler(inputCols=[f"_n{i}" for i in range(len(cols))], outputCol="_v"))
-        # Every stage is a stateless transformer: fitting reads no data.
-        model = Pipeline(stages=stages).fit(toks.limit(0))
-        return model.transform(toks).select(key, vector_to_array(F.col("_v"), "float32").alias(out))
+        fields = F.array(*[F.struct(F.lit(i).alias("col"), clean_tokens(c).alias("tokens")) for i, c in enumerate(cols)])
+        docs = co_locate(df.select(key, *cols), key).select(key, F.inline(fields))
+        toks = docs.select(key, "col", F.explode_outer("tokens").alias("_t")).withColumn("_h", F.md5("_t"))
+        slot = F.col("col") * dim + F.pmod(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")
+        sign = F.when(F.substring("_h", 9, 1) < "8", 1.0).otherwise(-1.0)
+        sums = toks.groupBy(key, "col", slot.alias("_s")).agg(F.sum(sign).alias("_v"))
+        per_col = sums.groupBy(key, "col").agg(F.collect_list(F.when(F.col("_s").isNotNull(), F.struct("_s", "_v"))).alias("_e"),
+                                               F.sqrt(F.sum(F.when(F.col("_s").isNotNull(), F.col("_v") * F.col("_v")))).alias("_l2"))
+        scaled = F.transform("_e", lambda x: F.struct(x["_s"].alias("_s"), F.when(F.col("_l2") > 0, x["_v"] / F.col("_l2")).otherwise(0.0).alias("_v")))
+        # At most ``dim`` entries per column: the collected lists are bounded by the vector they become.
+        rows = per_col.select(key, scaled.alias("_e")).groupBy(key).agg(F.map_from_entries(F.flatten(F.collect_list("_e"))).alias("_m"))
+        dense = F.transform(F.sequence(F.lit(0), F.lit(dim * len(cols) - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0)))
+        return rows.select(key, dense.alias(out))
+    from collections.abc import Iterator
+
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("array<float>")
-    def _enc(texts: pd.Series) -> pd.Series:
-        vecs = encoder(texts.fillna("").tolist())
-        return pd.Series([list(map(float, v)) for v in vecs])
+    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = encoder()
+        for texts in batches:
+            yield pd.Series([list(map(float, v)) for v in encode(texts.fillna("").tolist())])
 
     return df.select(key, F.concat(*[_enc(F.col(c)) for c in cols]).alias(out))

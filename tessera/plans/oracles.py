@@ -156,7 +156,7 @@ TOKS = "toks as (select id, field, token from (select id, field, unnest(string_s
        "from long_text) where token <> '')"
 LEXICON_V = """lexicon_v as (select token, length(token) % 8 as class,
   (length(token) % 5 - 2) / 2.0 as polarity, (length(token) % 3) / 2.0 as subjectivity
-  from (select distinct token from toks))"""
+  from (select distinct token from toks where length(token) % 7 <> 6))"""
 
 
 def _sql_str(s: str) -> str:
@@ -289,7 +289,7 @@ KVOCAB = ("kvocab as (select token, count(*) as count, row_number() over (order
 KSEQ = ("kseq as (select a.id, coalesce(string_agg(cast(v.rank as varchar), ' ' order by k.pos), '') as seq, "
         "list(v.rank order by k.pos) filter (where v.rank is not null) as l "
         "from all_text_v a left join ktoks k on a.id = k.id left join kvocab v on k.token = v.token "
-        "and v.rank < 100000 group by a.id)")
+        "group by a.id)")
 WV = ("wv as (select t.token as word, e.embedding as vec from (select token, row_number() over "
       "(order by count(*) desc, token) as rank from toks group by token) t join embeddings e on e.vec_id = t.rank - 1)")
 
@@ -310,13 +310,13 @@ select id, array_to_string(list_concat(list_transform(range(300 - len(t)), lambd
 
 EMB_MATRIX = ("ematrix as (select 0 as row, null as token, list_transform(range(64), lambda x: cast(0 as float)) as vec "
               "union all select v.rank as row, v.token, coalesce(w.vec, list_transform(range(64), lambda x: cast(0 as float))) "
-              "from kvocab v left join wv w on w.word = v.token where v.rank < 100000)")
+              "from kvocab v left join wv w on w.word = v.token)")
 
 ORACLES["embedding_matrix"] = with_(*TEXT_BASE, LONG_TEXT, TOKS, KTOKS, KVOCAB, WV, EMB_MATRIX) + \
     f"select row, token, {vec_text('vec')} as vec from ematrix"
 
 ORACLES["doc_vectors"] = with_(*TEXT_BASE, LONG_TEXT, TOKS, KTOKS, KVOCAB, WV, EMB_MATRIX) + """,
-seqtok as (select k.id, v.rank from ktoks k join kvocab v on k.token = v.token where v.rank < 100000),
+seqtok as (select k.id, v.rank from ktoks k join kvocab v on k.token = v.token),
 n as (select id, count(*) as n from seqtok group by id),
 dims as (select s.id, d.dim, sum(m.vec[d.dim + 1]) as s from seqtok s join ematrix m on m.row = s.rank
          cross join (select unnest(range(64)) as dim) d group by s.id, d.dim)
@@ -325,6 +325,27 @@ select dims.id, dims.dim, round(dims.s / n.n, 6) as value from dims join n on di
 ORACLES["vec_text_scan"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, WV) + \
     f"select word, {vec_text('vec')} as vec from wv"
 
+ORACLES["embedding_store"] = f"select vec_id, {vec_text('embedding')} as vec from embeddings"
+ORACLES["path_label_drop"] = """select doc_id, cast(doc_id as varchar) as stem, lower(substr(source, 4)) as label from documents"""
+
+
+def hex_number(text: str, digits: int) -> str:
+    """The number that the first hex digits of a text's MD5 stand for."""
+    return "(" + " + ".join(f"(instr('0123456789abcdef', substr(md5({text}), {i + 1}, 1)) - 1) * {16 ** (digits - 1 - i)}"
+                            for i in range(digits)) + ")"
+
+
+ORACLES["kfold_hash"] = with_(PROJECTS_V) + \
+    f"select id, cast({hex_number("cast(id as varchar) || '-0-0'", 7)} % 5 as integer) as fold from projects_v"
+ORACLES["hash_split"] = with_(PROJECTS_V) + \
+    f"select id, case when {hex_number("cast(id as varchar) || '-233'", 7)} % 1000000 < 800000 then 'train' else 'valid' end as part from projects_v"
+ORACLES["embed_text"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS) + f""",
+e as (select id, list_position([{', '.join(_sql_str(c) for c in TEXT_COLS)}], field) - 1 as c, {hex_number('token', 8)} % 64 as b,
+             case when substr(md5(token), 9, 1) < '8' then 1.0 else -1.0 end as s from toks),
+v as (select id, c * 64 + b as slot, c, sum(s) as v from e group by id, c, b),
+n as (select *, sqrt(sum(v * v) over (partition by id, c)) as l2 from v)
+select id, cast(slot as integer) as slot, round(v / l2, 6) as value from n where v <> 0"""
+
 ORACLES["embedding_scan"] = f"select vec_id, label, {vec_text('embedding')} as vec from embeddings"
 
 STOP_SQL = "[" + ", ".join(_sql_str(w) for w in default_stop_words()) + "]"
@@ -362,6 +383,58 @@ voc as (select term, ln((1 + (select n from n)) / (1 + df)) + 1 as idf from (
 w as (select id, term, (1 + ln(tf)) * idf as w from alltf join voc using (term))
 select id, term, round(w / sqrt(sum(w * w) over (partition by id)), 6) as weight from w"""
 
+TEXT_LIMITS = {"project_title": 400, "all_essays": 5000, "project_resource_summary": 400}
+TEXT3 = ("text3 as (select id, project_is_approved, project_title, project_resource_summary, "
+         "concat_ws('. ', project_essay_1, project_essay_2, project_essay_3, project_essay_4) as all_essays from cleaned)")
+
+
+def column_tfidf(c: str, limit: int) -> str:
+    """TF-IDF rows ``w_<c>(id, term, weight)`` of one column, with its vocabulary ``voc_<c>``."""
+    return (f"t_{c} as (select id, list_filter(regexp_extract_all(strip_accents(lower(coalesce({c}, ''))), '{W}+'), "
+            f"lambda t: not list_contains({STOP_SQL}, t)) as t from text3),\n"
+            f"tf_{c} as (select id, term, count(*) as tf from (select id, unnest({grams(3)}) as term from t_{c}) group by id, term),\n"
+            f"voc_{c} as (select term, row_number() over (order by term) - 1 as index, idf from (select term, "
+            f"ln((1 + (select count(*) from text3)) / (1 + df)) + 1 as idf from (select term, count(*) as df, sum(tf) as ttf "
+            f"from tf_{c} group by term) where df >= 5 and df <= 0.9 * (select count(*) from text3) order by ttf desc, term limit {limit})),\n"
+            f"r_{c} as (select id, term, index, (1 + ln(tf)) * idf as w from tf_{c} join voc_{c} using (term)),\n"
+            f"w_{c} as (select id, term, index, w / sqrt(sum(w * w) over (partition by id)) as weight from r_{c})")
+
+
+TFIDF3 = [column_tfidf(c, n) for c, n in TEXT_LIMITS.items()]
+ORACLES["tfidf_columns"] = with_(ESSAYS_V, CLEANED, TEXT3, *TFIDF3) + " union all ".join(
+    f"select id, '{c}' as column, term, round(weight, 6) as weight from w_{c}" for c in TEXT_LIMITS)
+
+_NUM = list(_ESSAY_NUM)
+_NUM_TERMS = ["1.0"] + [f"s{i}" for i in range(len(_NUM))] + [f"s{i} * s{j}" for i in range(len(_NUM)) for j in range(i, len(_NUM))]
+ORACLES["feature_matrix"] = with_(ESSAYS_V, CLEANED, TEXT3, *TFIDF3) + """,
+n1 as (select count(*) as n from voc_project_title), n2 as (select count(*) as n from voc_all_essays), n3 as (select count(*) as n from voc_project_resource_summary),
+tr as (select * from essays_v where project_is_approved is not null),
+hot as (select feature, value, row_number() over (order by feature, value) - 1 as slot from (
+          select distinct 'lang' as feature, lang as value from tr where lang is not null
+          union select distinct 'source', source from tr where source is not null)),
+cats as (select id, project_is_approved as y, 'lang' as feature, lang as value from essays_v union all select id, project_is_approved, 'source', source from essays_v),
+o1 as (select (select n from n1) + (select n from n2) + (select n from n3) as ofs),
+o2 as (select (select ofs from o1) + (select count(*) from hot) as ofs),
+prior as (select avg(project_is_approved) as p from tr),
+stats as (select feature, value, count(*) as n, avg(y) as m from cats where y is not null and value is not null group by all),
+items as (select distinct id, y, value from (select id, project_is_approved as y, unnest(list_transform(string_split(lower(concat_ws(', ', lang, source)), ','), lambda t: trim(t))) as value from essays_v)),
+tags as (select value, row_number() over (order by value) - 1 as index from (select distinct value from items where y is not null)),
+o3 as (select (select ofs from o2) + 2 as ofs),
+o4 as (select (select ofs from o3) + (select count(*) from tags) as ofs),
+num as (select id, project_is_approved, """ + ", ".join(f"{e} as x{i}" for i, e in enumerate(_ESSAY_NUM.values())) + """ from essays_v),
+b as (select """ + ", ".join(f"min(x{i}) as lo{i}, max(x{i}) as hi{i}" for i in range(len(_NUM))) + """ from num where project_is_approved is not null),
+sc as (select id, """ + ", ".join(f"(x{i} - lo{i}) / case when hi{i} = lo{i} then 1 else hi{i} - lo{i} end as s{i}" for i in range(len(_NUM))) + """ from num, b),
+m as (select id, index as slot, weight as value from w_project_title
+  union all select id, (select n from n1) + index, weight from w_all_essays
+  union all select id, (select n from n1) + (select n from n2) + index, weight from w_project_resource_summary
+  union all select c.id, (select ofs from o1) + h.slot, 1.0 from cats c join hot h on c.feature = h.feature and c.value = h.value
+  union all select c.id, (select ofs from o2) + case c.feature when 'lang' then 0 else 1 end,
+    case when s.n is null or s.n = 1 then (select p from prior) else (select p from prior) * (1 - 1 / (1 + exp(-(s.n - 1)))) + s.m / (1 + exp(-(s.n - 1))) end
+    from cats c left join stats s on c.feature = s.feature and c.value = s.value
+  union all select i.id, (select ofs from o3) + t.index, 1.0 from items i join tags t on i.value = t.value
+""" + "".join(f"  union all select id, (select ofs from o4) + {k}, {t} from sc\n" for k, t in enumerate(_NUM_TERMS)) + """)
+select id, cast(slot as integer) as slot, round(value, 6) as value from m where value <> 0"""
+
 ORACLES["quick_sample"] = with_(PROJECTS_V) + \
     "select id, teacher_prefix, school_state from projects_v order by id limit 4000"
 
@@ -377,20 +450,16 @@ union all by name
 select id, source from essays_v where project_is_approved is null"""
 
 ORACLES["sorted_scores"] = with_(SCORES_V) + \
-    "select model, id, round(score, 6) as score from scores_v where model = 'm1' order by id"
-
-BUCKET = ("case when score is null or isnan(score) or score < 0 then -1 else least(999, "
-          "case when (floor(score * 999) + 1) / 999 <= score then floor(score * 999) + 1 else floor(score * 999) end) end")
-ORACLES["binned_auc"] = with_(SCORES_V) + f""",
-sc as (select s.model, l.quality as y, cast({BUCKET} as integer) as b
-       from scores_v s join labels l on s.id = l.doc_id),
-hist as (select model, b, sum(y) as pos, sum(1 - y) as neg from sc group by model, b),
-tot as (select model, sum(pos) as P, sum(neg) as N from hist group by model),
-grid as (select t.model, t.P, t.N, k.b from tot t cross join (select unnest(range(0, 1000)) as b) k),
-g as (select grid.*, coalesce(h.pos, 0) as pos, coalesce(h.neg, 0) as neg
-      from grid left join hist h on grid.model = h.model and grid.b = h.b),
-c as (select *, sum(pos) over (partition by model order by b desc rows unbounded preceding) as tp,
-                sum(neg) over (partition by model order by b desc rows unbounded preceding) as fp from g),
+    "select model, id, round(score, 6) as score from scores_v"
+
+ORACLES["binned_auc"] = with_(SCORES_V) + """,
+sc as (select s.model, s.score, l.quality as y from scores_v s join labels l on s.id = l.doc_id),
+tot as (select model, sum(y) as P, sum(1 - y) as N from sc group by model),
+t as (select unnest(range(0, 1000)) as b),
+c as (select sc.model, t.b, max(tot.P) as P, max(tot.N) as N,
+             sum(case when sc.score >= cast(t.b as double) / 999 then sc.y else 0 end) as tp,
+             sum(case when sc.score >= cast(t.b as double) / 999 then 1 - sc.y else 0 end) as fp
+      from sc join tot on sc.model = tot.model cross join t group by sc.model, t.b),
 r as (select *, tp / P as tpr, fp / N as fpr from c),
 s as (select *, coalesce(lag(fpr) over (partition by model order by b), 1.0) as fprev from r)
 select model, round(case when max(P) > 0 and max(N) > 0 then sum(tpr * (fprev - fpr)) end, 6) as auc

@@ -66,22 +66,6 @@ def text_features(df: DataFrame, lexicon: DataFrame | None = None, key: str = "i
     return d
 
 
-def token_features(df: DataFrame, keywords, lexicon: DataFrame | None = None, key: str = "id",
-                   text_cols=TEXT_COLS) -> dict:
-    """Long keyword counts ``(id, field, keyword, count)`` and, with a lexicon, token-class counts
-    ``(id, field, class, count)`` over cleaned text columns."""
-    present = [c for c in text_cols if c in df.columns]
-    out = {"keywords": lx.keyword_counts(df, present, keywords, key=key, cleaned=True)}
-    if lexicon is not None:
-        out["classes"] = lx.token_class_counts(lx.tokens(df, present, key=key, cleaned=True), lexicon, key=key)
-    return out
-
-
 def preprocess(projects: DataFrame, resources: DataFrame, lexicon: DataFrame | None = None,
                quick: int | None = None) -> DataFrame:
     return text_features(enrich(projects, resources, quick=quick), lexicon)
-
-
-def features_of(df: DataFrame, names) -> DataFrame:
-    """Select the key and the given features (Catalyst prunes the rest of the plan)."""
-    return df.select("id", *[F.col(n) for n in names])

@@ -306,7 +306,7 @@ def q_token_vocab(spark, sf):
     return vc.token_vocab((all_text(spark, sf), "all_text"))
 
 
-def sequences(spark, sf, num_words=100000):
+def sequences(spark, sf, num_words=None):
     docs = all_text(spark, sf)
     voc = vc.token_vocab((docs, "all_text"))
     return vc.token_sequences(docs, "all_text", voc, num_words=num_words), voc
@@ -327,14 +327,14 @@ def q_pad_sequences(spark, sf):
 @query("embedding_matrix")
 def q_embedding_matrix(spark, sf):
     voc = vc.token_vocab((all_text(spark, sf), "all_text"))
-    m = vc.embedding_matrix(voc, T.word_vectors_v(spark, sf), dim=64, num_words=100000)
+    m = vc.embedding_matrix(voc, T.word_vectors_v(spark, sf), dim=64)
     return m.select("row", "token", vec_text(F.col("vec")).alias("vec"))
 
 
 @query("doc_vectors")
 def q_doc_vectors(spark, sf):
     s, voc = sequences(spark, sf)
-    m = vc.embedding_matrix(voc, T.word_vectors_v(spark, sf), dim=64, num_words=100000)
+    m = vc.embedding_matrix(voc, T.word_vectors_v(spark, sf), dim=64)
     dv = vc.doc_vectors(s, m.select(F.col("row").alias("rank"), "vec"), dim=64)
     return dv.select("id", F.posexplode("vec").alias("dim", "value")).select("id", "dim", r6("value"))
 
@@ -352,6 +352,16 @@ def q_embedding_scan(spark, sf):
     return e.select("vec_id", "label", vec_text(F.col("embedding")).alias("vec"))
 
 
+@query("embedding_store")
+def q_embedding_store(spark, sf):
+    """Store the embeddings as ``(key, vector)`` in the shared scratch folder and load them again (#3-4)."""
+    from tessera.session import scratch_dir
+    from tessera.sources import files
+    path = scratch_dir(spark, "embeddings")
+    files.write_embeddings(T.table(spark, sf, "embeddings"), path, key="vec_id", vec="embedding")
+    return files.read_embeddings(spark, path).select("vec_id", vec_text(F.col("embedding")).alias("vec"))
+
+
 @query("stopword_ngrams")
 def q_stopword_ngrams(spark, sf):
     return tf.stopword_ngrams(all_text(spark, sf), "all_text", 1, 2)
@@ -379,9 +389,32 @@ def q_tfidf(spark, sf):
     return model.transform(docs).select("id", "term", r6("weight"))
 
 
+TEXT_LIMITS = {"project_title": 400, "all_essays": 5000, "project_resource_summary": 400}
+
+
+def text_columns(spark, sf):
+    """The labelled and the other essays with their three TF-IDF columns."""
+    e = cleaned_essays(spark, sf).withColumn("all_essays", tx.concat_text(ESSAYS))
+    return e.select("id", "project_is_approved", *TEXT_LIMITS)
+
+
+def text_models():
+    return [tf.TfIdf(c, max_features=n, ngram=(1, 3), min_df=5, max_df=0.9) for c, n in TEXT_LIMITS.items()]
+
+
+@query("tfidf_columns")
+def q_tfidf_columns(spark, sf):
+    """TF-IDF of each column under limits of its own, fitted on the rows to train on and those to score."""
+    e = text_columns(spark, sf)
+    known = F.col("project_is_approved").isNotNull()
+    parts = [t.fit(e.where(known), e.where(~known)).transform(e).select("id", F.lit(t.col).alias("column"), "term", r6("weight")) for t in text_models()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("embed_text")
 def q_embed_text(spark, sf):
-    return vc.embed_text(T.essays_v(spark, sf), T.TEXT_COLS, dim=64)
+    v = vc.embed_text(T.essays_v(spark, sf), T.TEXT_COLS, dim=64)
+    return v.select("id", F.posexplode("vec").alias("slot", "value")).where("value <> 0").select("id", "slot", r6("value"))
 
 
 # ---------------------------------------------------------------- splits, metric, union, ensembles (#22-23, 32-33, 37-42, 77, 80-83)
@@ -425,7 +458,7 @@ def q_union_by_name(spark, sf):
 
 @query("sorted_scores")
 def q_sorted_scores(spark, sf):
-    return T.scores_v(spark, sf).where(F.col("model") == "m1").orderBy("id").select("model", "id", r6("score"))
+    return T.scores_v(spark, sf).orderBy("model", "id").select("model", "id", r6("score"))
 
 
 def labelled_scores(spark, sf):
@@ -507,7 +540,30 @@ def q_assemble_blocks(spark, sf):
     return df.select("id", F.posexplode("features").alias("slot", "value")).select("id", "slot", r6("value"))
 
 
-# ---------------------------------------------------------------- models (#71-78, 84): rows-only checks
+from tessera.operators.pipeline import FeaturePipeline  # noqa: E402
+
+
+def feature_frame(spark, sf):
+    """Cleaned text, categories and numbers of every essay."""
+    e = T.essays_v(spark, sf).select("id", "lang", "source", F.concat_ws(", ", "lang", "source").alias("tags"), "project_essay_3")
+    return text_columns(spark, sf).join(e, "id").join(essay_numeric(spark, sf).drop("project_is_approved"), "id")
+
+
+def feature_pipeline():
+    return FeaturePipeline(text=text_models(), one_hot=("lang", "source"), target=("lang", "source"), multi_hot=("tags",),
+                           continuous=tuple(ESSAY_NUM), poly=True, label="project_is_approved")
+
+
+@query("feature_matrix")
+def q_feature_matrix(spark, sf):
+    """Text, categorical and continuous features of every essay in one slot space."""
+    df = feature_frame(spark, sf)
+    known = F.col("project_is_approved").isNotNull()
+    model = feature_pipeline().fit(df.where(known), df.where(~known))
+    return model.transform(df).select("id", "slot", r6("value"))
+
+
+# ---------------------------------------------------------------- models (#71-78, 84)
 
 from tessera.operators import models as md  # noqa: E402
 
@@ -609,6 +665,15 @@ def q_label_lookup(spark, sf):
     return fs.attach_labels(listing, lab).select("path", "stem", "label", "class")
 
 
+@query("path_label_drop")
+def q_path_label_drop(spark, sf):
+    """Label from the last but one path segment without its first three characters (#6)."""
+    d = T.table(spark, sf, "documents")
+    paths = d.select("doc_id", F.concat_ws("/", F.lit(""), F.lit("corpus"), F.upper("source"),
+                                           F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"))
+    return fs.label_paths(paths, "path", segment=-2, drop=3).select("doc_id", "stem", "label")
+
+
 @query("map_column")
 def q_map_column(spark, sf):
     e = T.essays_v(spark, sf).select("id", "project_title")

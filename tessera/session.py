@@ -47,11 +47,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def scratch_dir(spark: SparkSession, name: str = "") -> str:
     """A fresh folder under the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session; only when it is unset (local tests) a folder is created and
-    registered, so lineage cuts and materialised tables never land on a machine-local path on a cluster.
+    The setting is read from the session. Where it is unset, a folder is created and registered if the master is
+    local; on a cluster that raises, since each machine would write to a disk of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -62,6 +65,16 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     return os.path.join(base, f"tessera-{app}", f"{name or 'tmp'}-{uuid.uuid4().hex[:12]}")
 
 
+def cleanup(spark: SparkSession) -> bool:
+    """Remove what this application has written to its scratch folder: lineage cuts and stored tables. Call it once
+    results that read them have been written. Returns whether there was anything."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        return False
+    folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(base, f"tessera-{spark.sparkContext.applicationId}"))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df, spark: SparkSession | None = None):
     """Cut the lineage of ``df``: write it once as a Parquet table in the shared checkpoint folder and read it
     back (never a local checkpoint, never a machine-local folder on a cluster).
