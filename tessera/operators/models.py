@@ -1,14 +1,17 @@
 """Training and scoring jobs on ``pyspark.ml`` (#71-78, #84).
 
-Every job takes a train frame (with the label) and a test frame, assembles the feature columns into a
-vector (missing values filled with 0), fits, and returns long scores ``(set, id, score)`` with ``set`` in
+Every job takes a train frame (with the label) and a test frame, whose ``features`` are either named numeric columns
+(assembled into a vector, missing values filled with 0) or one column of ml vectors, such as
+:meth:`tessera.operators.pipeline.FeatureModel.vectors` gives; it fits, and returns long scores ``(set, id, score)`` with ``set`` in
 ``{'train', 'test'}`` and ``score`` = P(class 1). Fitting is the distributed ml implementation (tree
 statistics, gradients and L-BFGS steps are aggregated across partitions); the only driver-side loop is over
 the k folds of the k-fold job, a count fixed by the caller. The assembled train and test frames are
 written once to the shared folder (compact: id, vector, label), so the iterations and the folds never re-run the feature
 plan.
 
-Defaults are the reference's settings; scores differ from its libraries by construction.
+Defaults are the reference's settings as far as the ml learners have them; scores differ from its libraries by
+construction. Boosting stops at the first round that doesn't lower the validation error (the learner has no patience
+setting), grows trees to a depth (it has no leaf count), and has no L2 weight on leaves.
 """
 
 from __future__ import annotations
@@ -57,9 +60,12 @@ def _prep(train, test, features, label, key: str = "id", keep=()):
     there. A table read back from files comes in file-listing order, which the file system does not fix, so
     the training rows are put into a layout that depends on the data only: hash-partitioned and sorted by key.
     """
-    tr = (to_vector(train, features).withColumn("label", F.col(label).cast("double"))
-          .select(key, "features", "label", *keep))
-    te = to_vector(test, features).select(key, "features")
+    if isinstance(features, str):
+        named = lambda df: df.withColumnRenamed(features, "features")
+    else:
+        named = lambda df: to_vector(df, features)
+    tr = named(train).withColumn("label", F.col(label).cast("double")).select(key, "features", "label", *keep)
+    te = named(test).select(key, "features")
     tr = cut_lineage(tr)
     # A fixed partition count: AQE does not coalesce it, so the layout cannot follow shuffle byte sizes.
     n = int(tr.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -91,8 +97,8 @@ def gbt_score(train: DataFrame, test: DataFrame, features, label: str, key: str
 
 
 def gbt_kfold_score(train: DataFrame, test: DataFrame, features, label: str, key: str = "id", k: int = 5,
-                    seed: int = 0, max_iter: int = 30, step: float = 0.05, max_depth: int = 4,
-                    subsample: float = 0.85, colsample: float = 0.25, validation_tol: float = 0.01,
+                    seed: int = 0, max_iter: int = 10000, step: float = 0.025, max_depth: int = 14,
+                    subsample: float = 0.85, colsample: float = 0.85, validation_tol: float = 0.0,
                     out_of_fold: bool = False) -> DataFrame:
     """k models, each trained with one fold as its early-stopping validation set; test scores and (like the
     reference) in-sample train scores are averaged over the k models. ``out_of_fold=True`` instead scores
@@ -140,17 +146,18 @@ def mlp_score(train: DataFrame, test: DataFrame, features, label: str, key: str
               max_iter: int = 100, seed: int = 0) -> DataFrame:
     """Feed-forward network with sigmoid hidden layers and a softmax output over two classes."""
     tr, te = _prep(train, test, features, label, key)
-    layers = [len(features), *hidden, 2]
+    layers = [tr.select("features").first()[0].size if isinstance(features, str) else len(features), *hidden, 2]
     m = MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=seed).fit(tr)
     return _score_both(m, tr, te, key)
 
 
-def softmax_score(df: DataFrame, features_col: str, label: str, key: str = "id", train_frac: float = 0.9,
+def softmax_score(df: DataFrame, features_col: str | list[str], label: str, key: str = "id", train_frac: float = 0.9,
                   seed: int = 0, reg: float = 0.01, max_iter: int = 100) -> DataFrame:
-    """Multinomial logistic regression on an array/vector feature column (dropout replaced by L2).
+    """Multinomial logistic regression on one array column, or on several put end to end (dropout replaced by L2).
     Fitted on a hash split of ``train_frac`` of the rows; returns ``(set, id, probs array<double>)``."""
     from pyspark.ml.functions import array_to_vector
-    d = df.withColumn("features", array_to_vector(F.col(features_col).cast("array<double>"))) \
+    blocks = [features_col] if isinstance(features_col, str) else features_col
+    d = df.withColumn("features", array_to_vector(F.concat(*[F.col(c).cast("array<double>") for c in blocks]))) \
         .withColumn("label", F.col(label).cast("double"))
     tr, va = hash_split(d, train_frac, seed=seed, key=key)
     m = LogisticRegression(family="multinomial", regParam=reg, elasticNetParam=0.0, maxIter=max_iter).fit(tr)
@@ -160,25 +167,40 @@ def softmax_score(df: DataFrame, features_col: str, label: str, key: str = "id",
                                                 probs.alias("probs"))))
 
 
-def split_train_merge(train: DataFrame, test: DataFrame, presence_col: str, job, **kw) -> DataFrame:
+def split_train_merge(train: DataFrame, test: DataFrame, presence_col: str, job, prepare=None, **kw) -> DataFrame:
     """Fit and score the rows where ``presence_col`` is present and those where it is absent separately
-    (each part with its own job), then union the scores."""
-    tr_p, tr_a = split_by_presence(train, presence_col)
-    te_p, te_a = split_by_presence(test, presence_col)
-    return job(tr_p, te_p, **kw).unionByName(job(tr_a, te_a, **kw))
+    (each part with its own job), then union the scores. ``prepare(train, test, present)`` encodes a part, so that
+    each has feature lists and encoders of its own."""
+    parts = zip(split_by_presence(train, presence_col), split_by_presence(test, presence_col), (True, False))
+    present, absent = (job(*(prepare(tr, te, has) if prepare else (tr, te)), **kw) for tr, te, has in parts)
+    return present.unionByName(absent)
+
+
+def score_checks(scores: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """``(set, id, ok)``: whether each score is a probability. With ``labels(id, label)``, one more row ``('auc', -1, ok)`` says
+    whether the scores of the training rows rank them better than a constant would."""
+    from tessera.operators.metrics import binned_auc
+    ok = F.coalesce(F.col("score").between(0.0, 1.0) & ~F.isnan("score"), F.lit(False))
+    out = scores.select("set", F.col("id").cast("long").alias("id"), ok.alias("ok"))
+    if labels is None:
+        return out
+    ranked = scores.where("set = 'train'").join(labels, "id")
+    auc = binned_auc(ranked, "label", "score", method="exact")
+    return out.unionByName(auc.select(F.lit("auc").alias("set"), F.lit(-1).cast("long").alias("id"), F.coalesce(F.col("auc") > 0.5, F.lit(False)).alias("ok")))
 
 
 def ensemble_stack(train_long: DataFrame, labels: DataFrame, test_long: DataFrame, models: list[str],
                    label: str = "label", key: str = "id", max_iter: int = 400, max_depth: int = 4,
-                   step: float = 0.01, train_frac: float = 0.8, seed: int = 233) -> DataFrame:
+                   step: float = 0.01, train_frac: float = 0.8, seed: int = 233, subsample: float = 0.4,
+                   colsample: float = 0.45) -> DataFrame:
     """Stacked model: per-model scores (min-max scaled, train and test each with their own bounds as in
     the reference) become the features of a boosted-tree model fitted on a hash split of ``train_frac``
-    of the labelled ids; returns ``(set, id, score)`` for the test ids."""
+    of the labelled ids (the reference only reports errors on the rest); returns ``(set, id, score)`` for the test ids."""
     from tessera.operators.ensemble import pivot_scores, score_minmax
     tr = pivot_scores(score_minmax(train_long), models).join(labels.select(key, label), key)
     te = pivot_scores(score_minmax(test_long), models)
     fit_part, _ = hash_split(tr, train_frac, seed=seed, key=key)
-    fit_v = to_vector(fit_part, models).withColumn("label", F.col(label).cast("double"))
-    m = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=seed).fit(fit_v)
+    fit_v, _ = _prep(fit_part, te, models, label, key)
+    m = _gbt(max_iter, step, max_depth, subsample, colsample, seed).fit(fit_v)
     return m.transform(to_vector(te, models)).select(F.lit("test").alias("set"), F.col(key).alias("id"),
                                                      _p1().alias("score"))

@@ -541,12 +541,13 @@ def q_assemble_blocks(spark, sf):
 
 
 from tessera.operators.pipeline import FeaturePipeline  # noqa: E402
+from tessera.session import cut_lineage  # noqa: E402
 
 
 def feature_frame(spark, sf):
-    """Cleaned text, categories and numbers of every essay."""
+    """Cleaned text, categories and numbers of every essay, written once: fits and transforms read it many times."""
     e = T.essays_v(spark, sf).select("id", "lang", "source", F.concat_ws(", ", "lang", "source").alias("tags"), "project_essay_3")
-    return text_columns(spark, sf).join(e, "id").join(essay_numeric(spark, sf).drop("project_is_approved"), "id")
+    return cut_lineage(text_columns(spark, sf).join(e, "id").join(essay_numeric(spark, sf).drop("project_is_approved"), "id"))
 
 
 def feature_pipeline():
@@ -567,73 +568,100 @@ def q_feature_matrix(spark, sf):
 
 from tessera.operators import models as md  # noqa: E402
 
-MODEL_FEATURES = ESSAY_NUM + [f"{c}_sent_len" for c in ESSAYS]
+LABEL = "project_is_approved"
 
 
 def model_frames(spark, sf):
-    """Labelled essays as train, unlabelled as test; numeric text features min-max scaled on train."""
-    e = T.essays_v(spark, sf)
-    df = e.select("id", "project_is_approved", "project_essay_3", F.col("n_chars").cast("double").alias("n_chars"),
-                  *[tx.word_count(c).cast("double").alias(f"{c}_word_len") for c in ESSAYS],
-                  *[tx.sentence_count(c).cast("double").alias(f"{c}_sent_len") for c in ESSAYS])
-    train = df.where(F.col("project_is_approved").isNotNull())
-    test = df.where(F.col("project_is_approved").isNull())
-    mm = enc.MinMax(MODEL_FEATURES).fit(train)
-    return mm.transform(train), mm.transform(test)
+    """Labelled essays to train on and the others to score, as sparse vectors over text, categories and numbers."""
+    df = feature_frame(spark, sf)
+    return encoded(df.where(f"{LABEL} is not null"), df.where(f"{LABEL} is null"))
+
+
+def encoded(train, test, present: bool = True):
+    """Both frames through a pipeline of their own; without the column that splits them when that is absent."""
+    model = feature_pipeline().fit(train, test)
+    return model.vectors(train, (LABEL,)), model.vectors(test, (LABEL,))
+
+
+def essay_labels(spark, sf):
+    return T.essays_v(spark, sf).where(F.col(LABEL).isNotNull()).select("id", F.col(LABEL).alias("label"))
+
+
+def stack_parts(spark, sf):
+    s = T.scores_v(spark, sf)
+    lab = T.table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    return s.join(lab.select("id"), "id"), lab, s.join(lab.select("id"), "id", "left_anti")
 
 
 @query("rf_score")
 def q_rf_score(spark, sf):
-    tr, te = model_frames(spark, sf)
-    return md.rf_score(tr, te, MODEL_FEATURES, "project_is_approved", max_depth=5, num_trees=20)
+    return md.rf_score(*model_frames(spark, sf), "features", LABEL)
 
 
 @query("gbt_score")
 def q_gbt_score(spark, sf):
-    tr, te = model_frames(spark, sf)
-    return md.gbt_score(tr, te, MODEL_FEATURES, "project_is_approved", max_iter=10)
+    return md.gbt_score(*model_frames(spark, sf), "features", LABEL)
 
 
 @query("gbt_kfold_score")
 def q_gbt_kfold_score(spark, sf):
-    tr, te = model_frames(spark, sf)
-    return md.gbt_kfold_score(tr, te, MODEL_FEATURES, "project_is_approved", k=5, max_iter=5)
+    return md.gbt_kfold_score(*model_frames(spark, sf), "features", LABEL, k=5)
 
 
 @query("linear_score")
 def q_linear_score(spark, sf):
-    tr, te = model_frames(spark, sf)
-    return md.linear_score(tr, te, MODEL_FEATURES, "project_is_approved", max_iter=10)
+    return md.linear_score(*model_frames(spark, sf), "features", LABEL)
 
 
 @query("mlp_score")
 def q_mlp_score(spark, sf):
-    tr, te = model_frames(spark, sf)
-    return md.mlp_score(tr, te, MODEL_FEATURES, "project_is_approved", hidden=(8,), max_iter=50)
+    return md.mlp_score(*model_frames(spark, sf), "features", LABEL)
+
+
+def two_blocks(spark, sf):
+    """The embeddings as they are, and their second halves' squares as another block."""
+    e = T.table(spark, sf, "embeddings")
+    return e.withColumn("squares", F.transform(F.slice("embedding", 33, 32), lambda x: x * x))
 
 
 @query("softmax_score")
 def q_softmax_score(spark, sf):
-    e = T.table(spark, sf, "embeddings")
-    s = md.softmax_score(e, "embedding", "label", key="vec_id", max_iter=50)
+    s = md.softmax_score(two_blocks(spark, sf), ["embedding", "squares"], "label", key="vec_id")
     return s.select("set", "id", F.array_position("probs", F.array_max("probs")).alias("pred_class"),
                     F.array_max("probs").alias("max_prob"))
 
 
 @query("split_train_merge")
 def q_split_train_merge(spark, sf):
-    tr, te = model_frames(spark, sf)
-    return md.split_train_merge(tr, te, "project_essay_3", md.linear_score, features=MODEL_FEATURES,
-                                label="project_is_approved", max_iter=10)
+    df = feature_frame(spark, sf)
+    return md.split_train_merge(df.where(f"{LABEL} is not null"), df.where(f"{LABEL} is null"), "project_essay_3", md.linear_score, prepare=encoded, features="features", label=LABEL)
 
 
 @query("ensemble_stack")
 def q_ensemble_stack(spark, sf):
-    s = T.scores_v(spark, sf)
-    lab = T.table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
-    train_long = s.join(lab.select("id"), "id")
-    test_long = s.join(lab.select("id"), "id", "left_anti")
-    return md.ensemble_stack(train_long, lab, test_long, ["m1", "m2", "m3"], max_iter=20)
+    return md.ensemble_stack(*stack_parts(spark, sf), ["m1", "m2", "m3"])
+
+
+def checked(name: str, labelled: bool = True):
+    """A query that says of each score of a job whether it is a probability, and whether the training rows are ranked."""
+    @query(f"{name}_check")
+    def q(spark, sf):
+        return md.score_checks(QUERIES[name](spark, sf), essay_labels(spark, sf) if labelled else None)
+
+
+for _job in ("linear_score", "gbt_score", "mlp_score"):
+    checked(_job)
+checked("ensemble_stack", labelled=False)
+
+
+@query("softmax_wide_check")
+def q_softmax_wide_check(spark, sf):
+    """Class probabilities of the two-block softmax in wide form: a row for each vector, whose probabilities sum to one."""
+    s = md.softmax_score(two_blocks(spark, sf), ["embedding", "squares"], "label", key="vec_id")
+    classes = [f"c{i}" for i in range(len(s.select("probs").first()[0]))]
+    wide = ens.wide_from_array(s, classes, key="id", probs="probs")
+    total = sum((F.col(c) for c in classes), F.lit(0.0))
+    return wide.select("id", (F.abs(total - 1) < 1e-9).alias("ok"))
 
 
 # ---------------------------------------------------------------- sources and sinks, column map (#1, #4-5, #55)
