@@ -56,7 +56,6 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
