@@ -21,6 +21,7 @@ HEADLINE = [
     "one_hot", "multi_hot", "target_encode", "minmax_scale", "poly2", "token_vocab", "token_sequences",
     "pad_sequences", "doc_vectors", "term_stats", "top_terms", "tfidf", "embed_text", "kfold_contiguous",
     "binned_auc", "ensemble_weighted", "score_minmax", "fill_template", "assemble_blocks", "text_features",
+    "embedding_matrix", "feature_matrix", "linear_score",
 ]
 
 

@@ -110,6 +110,19 @@ def doc_vectors(seqs: DataFrame, vectors_by_rank: DataFrame, key: str = "id", se
     return sums.select(key, mean.alias("vec"))
 
 
+def text_vectors(df: DataFrame, col: str, matrix: DataFrame, dim: int, key: str = "id") -> DataFrame:
+    """``(key, vec)`` as :func:`doc_vectors` of the texts' sequences, straight from the texts: tokens are looked up in the
+    embedding ``matrix(token, vec)`` and summed in one stream, without collecting a sequence in between. The
+    partial sums leave one row for each text and task, so nothing larger is shuffled."""
+    toks = df.select(key, F.explode_outer(seq_tokens(col)).alias("token"))
+    known = matrix.where(F.col("token").isNotNull()).select("token", array_to_vector(F.col("vec")).alias("_v"))
+    j = lookup_join(toks, known, "token", how="left", spread=key)
+    zero = array_to_vector(F.array_repeat(F.lit(0.0), dim))
+    sums = j.groupBy(key).agg(F.count("_v").alias("_n"), Summarizer.sum(F.coalesce(F.col("_v"), zero)).alias("_sum"))
+    mean = F.when(F.col("_n") > 0, F.transform(vector_to_array(F.col("_sum")), lambda x: x / F.col("_n")))
+    return sums.select(key, mean.alias("vec"))
+
+
 # ------------------------------------------------------------------ word-vector text files (#2)
 
 def parse_vector_lines(lines: DataFrame, col: str = "value") -> DataFrame:

@@ -289,6 +289,7 @@ def q_poly2(spark, sf):
 
 from tessera.operators import tfidf as tf  # noqa: E402
 from tessera.operators import vocab as vc  # noqa: E402
+from tessera.session import cut_lineage  # noqa: E402
 
 
 def all_text(spark, sf):
@@ -306,9 +307,14 @@ def q_token_vocab(spark, sf):
     return vc.token_vocab((all_text(spark, sf), "all_text"))
 
 
+def corpus(spark, sf):
+    """The cleaned texts and their ranked vocabulary, each written once: the text is cleaned in one pass."""
+    docs = cut_lineage(all_text(spark, sf))
+    return docs, cut_lineage(vc.token_vocab((docs, "all_text")))
+
+
 def sequences(spark, sf, num_words=None):
-    docs = all_text(spark, sf)
-    voc = vc.token_vocab((docs, "all_text"))
+    docs, voc = corpus(spark, sf)
     return vc.token_sequences(docs, "all_text", voc, num_words=num_words), voc
 
 
@@ -333,9 +339,9 @@ def q_embedding_matrix(spark, sf):
 
 @query("doc_vectors")
 def q_doc_vectors(spark, sf):
-    s, voc = sequences(spark, sf)
-    m = vc.embedding_matrix(voc, T.word_vectors_v(spark, sf), dim=64)
-    dv = vc.doc_vectors(s, m.select(F.col("row").alias("rank"), "vec"), dim=64)
+    docs, voc = corpus(spark, sf)
+    m = cut_lineage(vc.embedding_matrix(voc, T.word_vectors_v(spark, sf), dim=64))
+    dv = vc.text_vectors(docs, "all_text", m, dim=64)
     return dv.select("id", F.posexplode("vec").alias("dim", "value")).select("id", "dim", r6("value"))
 
 
@@ -541,7 +547,6 @@ def q_assemble_blocks(spark, sf):
 
 
 from tessera.operators.pipeline import FeaturePipeline  # noqa: E402
-from tessera.session import cut_lineage  # noqa: E402
 
 
 def feature_frame(spark, sf):
