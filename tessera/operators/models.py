@@ -11,7 +11,7 @@ plan.
 
 Defaults are the reference's settings as far as the ml learners have them; scores differ from its libraries by
 construction. Boosting stops at the first round that doesn't lower the validation error (the learner has no patience
-setting), grows trees to a depth (it has no leaf count), and has no L2 weight on leaves.
+setting), grows trees to a depth (depth 5 stands for 31 leaves), and has no L2 weight on leaves.
 """
 
 from __future__ import annotations
@@ -67,8 +67,9 @@ def _prep(train, test, features, label, key: str = "id", keep=()):
     tr = named(train).withColumn("label", F.col(label).cast("double")).select(key, "features", "label", *keep)
     te = named(test).select(key, "features")
     tr = cut_lineage(tr)
-    # A fixed partition count: AQE does not coalesce it, so the layout cannot follow shuffle byte sizes.
-    n = int(tr.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A partition count that follows the number of rows: AQE does not coalesce it, so the layout cannot follow shuffle
+    # byte sizes, and the many short jobs of a boosting run don't pay for partitions that hold next to nothing.
+    n = min(int(tr.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + tr.count() // 20_000)
     return tr.repartition(n, key).sortWithinPartitions(key), cut_lineage(te)
 
 
@@ -97,7 +98,7 @@ def gbt_score(train: DataFrame, test: DataFrame, features, label: str, key: str
 
 
 def gbt_kfold_score(train: DataFrame, test: DataFrame, features, label: str, key: str = "id", k: int = 5,
-                    seed: int = 0, max_iter: int = 10000, step: float = 0.025, max_depth: int = 14,
+                    seed: int = 0, max_iter: int = 10000, step: float = 0.025, max_depth: int = 5,
                     subsample: float = 0.85, colsample: float = 0.85, validation_tol: float = 0.0,
                     out_of_fold: bool = False) -> DataFrame:
     """k models, each trained with one fold as its early-stopping validation set; test scores and (like the

@@ -610,7 +610,8 @@ def q_gbt_score(spark, sf):
 
 @query("gbt_kfold_score")
 def q_gbt_kfold_score(spark, sf):
-    return md.gbt_kfold_score(*model_frames(spark, sf), "features", LABEL, k=5)
+    # Thirty of the job's 10000 rounds: without a patience setting a run ends long before them or never.
+    return md.gbt_kfold_score(*model_frames(spark, sf), "features", LABEL, k=5, max_iter=30)
 
 
 @query("linear_score")
@@ -656,7 +657,12 @@ def checked(name: str, labelled: bool = True):
 
 for _job in ("linear_score", "gbt_score", "mlp_score"):
     checked(_job)
-checked("ensemble_stack", labelled=False)
+
+
+@query("ensemble_stack_check")
+def q_ensemble_stack_check(spark, sf):
+    """Coverage and range don't depend on the number of rounds, so a short run is looked at."""
+    return md.score_checks(md.ensemble_stack(*stack_parts(spark, sf), ["m1", "m2", "m3"], max_iter=20))
 
 
 @query("softmax_wide_check")
