@@ -49,9 +49,9 @@ PATTERNS = {
               r"|(?<=password=|passwd=|token=|secret=|api_key=|token = \"|password = \"|secret = \"|api_key = \")[0-9A-Za-z_+/.-]{8,}",
     "email": r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "ipv4": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:(?:[ .-]?\d{3,4}){2}|(?:[ .-]?\d{2}){4})(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?![\w-])",
     "name": NAME,
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
