@@ -118,9 +118,14 @@ def sequences(texts: list[str], order: int) -> Iterator[tuple[np.ndarray, np.nda
 
 def contexts(seq: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
     """Hashes of the contexts of the tokens at ``at``: of one word, of two, ... up to ``order - 1``."""
-    out, h = [], np.zeros(len(at), U)
-    for k in range(1, order):
-        h = mix(h * BASE + seq[at - k])
+    return context_hashes([seq[at - k] for k in range(1, order)])
+
+
+def context_hashes(back: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the contexts that the words before make, the nearest word first: of one word, of two, ..."""
+    out, h = [], np.zeros(len(back[0]), U)
+    for w in back:
+        h = mix(h * BASE + w)
         out.append(h)
     return out
 
@@ -155,6 +160,43 @@ def packed(kind: int, level: int, keys: np.ndarray, columns: list[np.ndarray], s
         yield [kind, level, int(s), len(part), [ZSTD.compress(c[part].tobytes(), asbytes=True) for c in columns]]
 
 
+def packed_grams(level: int, keys: np.ndarray, words: list[np.ndarray], n: np.ndarray, shards: int) -> Iterator[list]:
+    """A row for each shard that ``keys`` (sorted) reach: its words once each, then for every n-gram the places of its words
+    among them, the nearest before the last first and the last at the end, and its count. Hashes of contexts aren't sent:
+    :func:`context_hashes` makes them from the words."""
+    cuts = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(cuts)):
+        mine = slice(cuts[s], cuts[s + 1])
+        known, at, often = np.unique(np.concatenate([w[mine] for w in words]), return_inverse=True, return_counts=True)
+        # Frequent words first: then most places are small numbers, and their upper bytes compress to little.
+        by = np.argsort(-often, kind="stable")
+        place = np.empty(len(by), place_kind(len(by)))
+        place[by] = np.arange(len(by))
+        places = place[at].reshape(len(words), -1)
+        part = np.argsort(places[0], kind="stable")
+        columns = [known[by], *[p[part].view(np.uint8).reshape(len(part), -1).T for p in places], n[mine][part]]
+        yield [GRAMS, level, int(s), len(part), [np.uint32(len(known)).tobytes(), *[ZSTD.compress(c.tobytes(), asbytes=True) for c in columns]]]
+
+
+def place_kind(words: int) -> type:
+    return np.uint16 if words <= 1 << 16 else np.uint32
+
+
+def unpacked_grams(rows: pa.Table, level: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The words of packed n-grams, a column for each place, and their counts."""
+    out: list[list[np.ndarray]] = [[] for _ in range(level + 1)]
+    for n, (size, known, *places, count_) in zip(rows.column("n").to_pylist(), rows.column("columns").to_pylist()):
+        size = int(np.frombuffer(size, np.uint32)[0])
+        kind = np.dtype(place_kind(size))
+        known = np.frombuffer(ZSTD.decompress(known, size * 8, asbytes=True), U)
+        for o, p in zip(out, places):
+            planes = np.frombuffer(ZSTD.decompress(p, n * kind.itemsize, asbytes=True), np.uint8).reshape(kind.itemsize, n)
+            o.append(known[np.ascontiguousarray(planes.T).view(kind)[:, 0]])
+        out[-1].append(np.frombuffer(ZSTD.decompress(count_, n * 4, asbytes=True), np.uint32))
+    *words, n = [np.concatenate(o) if o else np.empty(0, U) for o in out]
+    return words, n
+
+
 def unpacked(rows: pa.Table, kinds: list[type]) -> list[np.ndarray]:
     out: list[list[np.ndarray]] = [[] for _ in kinds]
     for n, columns in zip(rows.column("n").to_pylist(), rows.column("columns").to_pylist()):
@@ -178,10 +220,10 @@ def batches(rows: Iterator[list]) -> Iterator[pa.RecordBatch]:
 def count(docs: DataFrame, text: str, order: int, shards: int) -> DataFrame:
     """Packed n-grams of the highest order and packed words, with the counts of each task."""
     def flush(held: list) -> Iterator[list]:
-        *ctx, word = [np.concatenate(c) for c in zip(*held)]
-        keys, rows, (n,) = summed(gram(ctx[-1], word), np.ones(len(word), np.int64))
-        # Columns: contexts from the shortest to the longest, word, count.
-        yield from packed(GRAMS, order, keys, [*[c[rows] for c in ctx], word[rows], n.astype(np.uint32)], shards)
+        full, *words = [np.concatenate(c) for c in zip(*held)]
+        word = words[-1]
+        keys, rows, (n,) = summed(gram(full, word), np.ones(len(word), np.int64))
+        yield from packed_grams(order, keys, [w[rows] for w in words], n.astype(np.uint32), shards)
         word, _, (n,) = summed(word, np.ones(len(word), np.int64))
         yield from packed(WORDS, 1, word, [word, n], shards)
 
@@ -190,7 +232,8 @@ def count(docs: DataFrame, text: str, order: int, shards: int) -> DataFrame:
         for batch in source:
             for _, texts in packs([None] * batch.num_rows, batch.column(0).to_pylist(), 1_000_000):
                 for seq, at, _ in sequences(texts, order):
-                    held.append([*contexts(seq, at, order), seq[at]])
+                    back = [seq[at - k] for k in range(1, order)]
+                    held.append([context_hashes(back)[-1], *back, seq[at]])
                     size += len(at)
                     if size > FLUSH:
                         yield from flush(held)
@@ -233,8 +276,6 @@ REPORT_ARROW = pa.schema([*PACKED_ARROW, ("path", pa.string()), ("stats", pa.lis
 def reduce_grams(rows: DataFrame, level: int, folder: str, shards: int) -> DataFrame:
     """Store the distinct n-grams of a level. Returns a row for each file and, packed, the statistics of their
     contexts and the n-grams of the level below with the number of their distinct extensions."""
-    kinds = [U] * level + [np.uint32]
-
     def reduce(group: pa.Table) -> pa.Table:
         kind = group.column("kind").to_numpy()
         out = []
@@ -242,9 +283,10 @@ def reduce_grams(rows: DataFrame, level: int, folder: str, shards: int) -> DataF
         if len(w):  # of the first level: summed up, they go on to reduce_words
             w, _, (n,) = summed(w, n)
             out += [[*r, None, None] for r in packed(WORDS, 1, w, [w, n], shards)]
-        *ctx, word, n = unpacked(group.filter(pa.array(kind == GRAMS)), kinds)
-        keys, first, (n,) = summed(gram(ctx[-1], word), n.astype(np.int64))
-        ctx, word = [c[first] for c in ctx], word[first]
+        words, n = unpacked_grams(group.filter(pa.array(kind == GRAMS)), level)
+        keys, first, (n,) = summed(gram(context_hashes(words[:-1])[-1], words[-1]), n.astype(np.int64))
+        *back, word = [w[first] for w in words]
+        ctx = context_hashes(back)
         large = n > 254
         path = save(folder, [keys, np.where(large, 255, n).astype(np.uint8), keys[large], n[large]])
         out.append([GRAMS, level, group.column("shard")[0].as_py(), len(keys), [], path, [int(large.sum()), *occurrences(n)]])
@@ -252,7 +294,7 @@ def reduce_grams(rows: DataFrame, level: int, folder: str, shards: int) -> DataF
         out += [[*r, None, None] for r in packed(CONTEXTS, level, c, [c, *[s.astype(np.uint32 if k else np.int64) for k, s in enumerate(stats)]], shards)]
         if level > 2:
             k, first, (n,) = summed(gram(ctx[-2], word), np.ones(len(word), np.int64))
-            out += [[*r, None, None] for r in packed(GRAMS, level - 1, k, [*[c[first] for c in ctx[:-1]], word[first], n.astype(np.uint32)], shards)]
+            out += [[*r, None, None] for r in packed_grams(level - 1, k, [*[w[first] for w in back[:-1]], word[first]], n.astype(np.uint32), shards)]
         else:
             w, _, (n,) = summed(word, np.ones(len(word), np.int64))
             out += [[*r, None, None] for r in packed(GRAMS, 1, w, [w, n.astype(np.uint32)], shards)]
@@ -404,10 +446,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_
     return docs.select(F.col(id_col), F.col(text)).mapInArrow(run, schema)
 
 
-def op1_kneser_ney(spark, sf_dir: str) -> DataFrame:
-    """Every document, scored by the model of the nine tenths that aren't held out."""
+def op1_kneser_ney(spark, sf_dir: str, order: int = 2) -> DataFrame:
+    """Every document, scored by the model of the nine tenths that aren't held out. Registered at order 3."""
     docs = table(spark, sf_dir, "documents")
     fold = id_remainder(F.col("doc_id"), 10)
-    model = train(spark, docs.where(fold.isNull() | (fold != 0)))
+    model = train(spark, docs.where(fold.isNull() | (fold != 0)), order=order)
     return score(docs, model).select("doc_id", (fold == 0).alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
                                      "base_score", "score", "perplexity")

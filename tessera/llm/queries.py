@@ -4,6 +4,7 @@ express the result, the DuckDB statement."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +20,7 @@ from tessera.llm.toxicity import op7_toxicity
 from tessera.llm.warc import OP10_SQL, op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_kneser_ney": op1_kneser_ney,
+    "op1_kneser_ney": partial(op1_kneser_ney, order=3),
     "op2_linededup": op2_linededup,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,

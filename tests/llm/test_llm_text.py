@@ -11,6 +11,7 @@ from brute import language_model, learned
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, kneser_ney, langid, toxicity
+from tessera.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 MID = "/root/testdata/sf0.01"
@@ -125,6 +126,24 @@ def test_op1_against_brute_force(spark):
     assert all(r["held_out"] is not learned(i, 10, 0) and r["train_tokens"] == want[i][2] for i, r in got.items())
 
 
+def test_registered_language_model_is_a_trigram_model(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = {r["doc_id"]: r for r in QUERIES["op1_kneser_ney"](spark, SF).collect()}
+    close(got, language_model([(i, t, learned(i, 10, 0)) for i, t in rows], 3))
+
+
+@pytest.mark.parametrize("words", [3, 70_000])
+def test_packed_grams_come_back(words):
+    """Also with more words in a shard than two bytes number."""
+    rnd = np.random.default_rng(4)
+    names = rnd.integers(1, 1 << 63, words, dtype=np.uint64)
+    back = [names[rnd.permutation(words)] for _ in range(3)]
+    keys, first, (n,) = kneser_ney.summed(kneser_ney.gram(kneser_ney.context_hashes(back[:-1])[-1], back[-1]), np.arange(1, words + 1))
+    rows = list(kneser_ney.packed_grams(3, keys, [b[first] for b in back], n.astype(np.uint32), 2))
+    got, count = kneser_ney.unpacked_grams(kneser_ney.batch_of(kneser_ney.PACKED_ARROW, list(zip(*rows))), 3)
+    assert sorted(zip(*[g.tolist() for g in got], count.tolist())) == sorted(zip(*[b.tolist() for b in back], range(1, words + 1)))
+
+
 def test_language_id_on_held_out_documents(spark):
     got = langid.op5_langid(spark, MID).toPandas()
     truth = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "lang").toPandas()
