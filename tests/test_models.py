@@ -1,9 +1,12 @@
 """Model jobs: rows, score range, determinism, and signal recovery on a planted label."""
 
+import inspect
+
 from pyspark.sql import functions as F
 
 from tessera.operators import metrics as mt
 from tessera.operators import models as md
+from tessera.plans import queries
 
 
 def planted(spark, n=400):
@@ -31,3 +34,13 @@ def test_rf_deterministic_under_seed(spark):
     a = md.rf_score(df, df, ["x1", "x2"], "y", max_depth=3, num_trees=5).orderBy("set", "id").collect()
     b = md.rf_score(df, df, ["x1", "x2"], "y", max_depth=3, num_trees=5).orderBy("set", "id").collect()
     assert a == b
+
+
+def test_registered_kfold_job_has_all_rounds(monkeypatch):
+    """Early stopping ends a fold, not a number of rounds below the job's 10000."""
+    job, seen = inspect.signature(md.gbt_kfold_score), []
+    monkeypatch.setattr(queries, "model_frames", lambda spark, sf: (None, None))
+    monkeypatch.setattr(md, "gbt_kfold_score", lambda *a, **kw: seen.append(job.bind(*a, **kw)))
+    queries.QUERIES["gbt_kfold_score"](None, None)
+    seen[0].apply_defaults()
+    assert (seen[0].arguments["max_iter"], seen[0].arguments["k"]) == (10_000, 5)
