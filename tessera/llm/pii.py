@@ -11,10 +11,14 @@ corpus, are drawn again under the next attempt, the first entity in order keepin
 Only distinct entities take part, and only their surrogates and the mentions are shuffled; a mention's join on its
 entity is between written tables, which Spark splits where an entity has a large part of all mentions.
 
-Types: email, phone (international), card (13 to 19 digits with a right Luhn digit), ipv4, ssn, secret (access
-keys, assigned passwords and tokens), name (a title and one to three capitalised words). A given name and a surname
-are entities of their own, so that a person's full name and surname alone stay in agreement; gender comes
-from the titles of all mentions of a name.
+Types: email, phone (international, or ten digits in groups of three, three and four, which count as numbers of +1), card
+(13 to 19 digits with a right Luhn digit), ipv4, ssn, secret (access keys, assigned passwords and tokens), name (a title and
+one to three capitalised words). A given name and a surname are entities of their own, so that a person's full
+name and surname alone stay in agreement; gender comes from the titles of all mentions of a name.
+
+A capitalised word that is part of a name with a title in the same document is a mention too: words between the first
+mentions are joined with the document's name parts. Possessive endings (and lower-case ones after a hyphen) stay. A name without
+a title anywhere in its document, and one written in lower case, isn't recognised.
 
 Null texts stay null, empty ones empty. Documents are told apart by id and text; rows that repeat both get the same
 result. A text without entities comes back as it is.
@@ -43,13 +47,16 @@ FAMILY = {"latin": ("ner", "ner", "ner"), "cyrillic": ("нов", "нова", "н
 GENDERS = ("m", "f", "n")
 
 TITLE = r"(?<![\p{L}\p{N}])(?:" + "|".join(MALE + FEMALE + NEUTRAL) + r")\.? "
+WORD = r"(?<![\p{L}\p{N}_])\p{Lu}[\p{L}'’-]+"
+TAIL = r"(?:['’][sS]?|-+\p{Ll}[\p{L}'’-]*|-+)$"
 NAME = TITLE + r"\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,2}"
 PATTERNS = {
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
               r"|(?<=password=|passwd=|token=|secret=|api_key=|token = \"|password = \"|secret = \"|api_key = \")[0-9A-Za-z_+/.-]{8,}",
     "email": r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "ipv4": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:(?:[ .-]?\d{3,4}){2}|(?:[ .-]?\d{2}){4})(?!\w)",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:(?:[ .-]?\d{3,4}){2}|(?:[ .-]?\d{2}){4})(?!\w)"
+             r"|(?<![\w+-])(?<!\d\.)(?:1[ .-])?(?:\(\d{3}\) ?\d{3}[ .-]|\d{3}-\d{3}-|\d{3}\.\d{3}\.)\d{4}(?![\w-]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?![\w-])",
     "name": NAME,
@@ -159,7 +166,8 @@ def surrogate(type_: Column, norm: Column, role: Column, gender: Column, hashes:
 
 def shaped(type_: Column, raw: Column, new: Column) -> Column:
     """A surrogate's normal form in the notation of a mention."""
-    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+    # A national number lacks the first digit of its normal form.
+    start = F.struct(F.lit("").alias("out"), (F.length(new) - F.length(digits_of(raw)) + 1).alias("at"))
     filled = F.aggregate(F.split(raw, ""), start, lambda a, c: F.struct(
         F.concat(a["out"], F.when(c.between("0", "9"), F.substring(new, a["at"], F.lit(1))).otherwise(c)).alias("out"),
         (a["at"] + F.when(c.between("0", "9"), 1).otherwise(0)).alias("at")), lambda a: a["out"])
@@ -170,20 +178,53 @@ def shaped(type_: Column, raw: Column, new: Column) -> Column:
 
 
 def mentions(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    """``(doc, text_hash, at, part, head, type, role, gender, raw, norm)``: a row for each part of each mention. ``head`` is
-    what stands before the part and stays."""
+    """``(doc, text_hash, at, part, head, type, role, gender, raw, tail, norm)``: a row for each part of each mention. ``head`` is
+    what stands before the part and stays, ``tail`` what stands behind it."""
     found = docs.where(may_hold(F.col(text))).select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("text_hash"), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)).alias("all"))
     rows = found.where(F.size("all") > 0).select("doc", "text_hash", F.posexplode("all").alias("at", "mention")).withColumn("type", type_of(F.col("mention")))
     title = F.regexp_extract("mention", f"^(?:{TITLE})", 0)
     words = F.split(F.substring("mention", F.length(title) + 1, F.length("mention")), " ")
     parts = F.when(F.col("type") == "name", words).otherwise(F.array("mention"))
     rows = rows.select("doc", "text_hash", "at", "type", title.alias("title"), F.size(parts).alias("n"), F.posexplode(parts).alias("part", "raw"))
+    tail = F.when(F.col("type") == "name", F.regexp_extract("raw", TAIL, 0)).otherwise("")
+    rows = rows.withColumn("tail", F.coalesce(tail, F.lit(""))).withColumn("raw", without_tail())
     bare = F.regexp_replace("title", r"[. ]", "")
     gender = F.when(bare.isin(*MALE), "m").when(bare.isin(*FEMALE), "f").otherwise("n")
-    norm = F.when(F.col("type").isin(*DIGITS), digits_of(F.col("raw"))).when(F.col("type").isin("email", "name"), F.lower("raw")).otherwise(F.col("raw"))
+    digits = digits_of(F.col("raw"))
+    national = (F.col("type") == "phone") & (F.length(digits) == 10) & ~F.startswith("raw", F.lit("+"))
+    norm = F.when(national, F.concat(F.lit("1"), digits)).when(F.col("type").isin(*DIGITS), digits).when(F.col("type").isin("email", "name"), F.lower("raw")).otherwise(F.col("raw"))
     role = F.when(F.col("type") == "name", F.when(F.col("part") + 1 == F.col("n"), "family").otherwise("given")).otherwise("")
     head = F.when(F.col("type") != "name", "").when(F.col("part") == 0, F.col("title")).otherwise(" ")
-    return rows.select("doc", "text_hash", "at", "part", F.coalesce(head, F.lit("")).alias("head"), "type", role.alias("role"), gender.alias("gender"), "raw", norm.alias("norm"))
+    return rows.select("doc", "text_hash", "at", "part", F.coalesce(head, F.lit("")).alias("head"), "type", role.alias("role"), gender.alias("gender"), "raw", "tail", norm.alias("norm"))
+
+
+def without_tail() -> Column:
+    return F.substring(F.col("raw"), F.lit(1), F.length("raw") - F.length("tail"))
+
+
+def bare_names(docs: DataFrame, seen: DataFrame, new: DataFrame, text: str, id_col: str) -> DataFrame:
+    """``(doc, text_hash, at, part, type, before, new, tail)`` for the documents with names: what stands before each mention ``at``,
+    and behind the last, cut behind each capitalised word, with surrogates for the words that are part of a name of the document.
+    ``seen`` are the mentions, ``new`` the surrogates of :func:`assign`."""
+    names = seen.where("type = 'name'")
+    same = ["type", "role", "norm"]
+    # A word that is a given name and a surname in one document counts as the surname.
+    known = names.groupBy("doc", "text_hash", "type", "norm").agg(F.min("role").alias("role")).join(new, same)
+    known = cut_lineage(known.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("norm").alias("_norm"), F.col("new").alias("_new")))
+    whose = known.select("_doc", "_hash").distinct()
+    side = F.broadcast(whose) if broadcastable(whose, 500_000, 64 << 20) else whose
+    mine = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
+    own = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("body")).join(side, mine, "left_semi")
+    gaps = own.dropDuplicates(["doc", "text_hash"]).select("doc", "text_hash", F.posexplode(F.split("body", ANY, -1)).alias("at", "gap"))
+    # One piece more than words: the last has none behind it.
+    both = gaps.select("doc", "text_hash", "at", F.split("gap", WORD, -1).alias("before"), F.regexp_extract_all("gap", F.lit(WORD), F.lit(0)).alias("raw"))
+    rows = both.select("doc", "text_hash", "at", F.posexplode(F.arrays_zip("before", "raw")).alias("part", "x")).select(
+        "doc", "text_hash", "at", "part", "x.before", F.coalesce("x.raw", F.lit("")).alias("raw"))
+    rows = rows.withColumn("tail", F.regexp_extract("raw", TAIL, 0)).withColumn("raw", without_tail()).withColumn("norm", F.lower("raw"))
+    near = F.broadcast(known) if broadcastable(known, 500_000, 64 << 20) else known
+    rows = rows.join(near, mine & (F.col("norm") == F.col("_norm")), "left")
+    kind = F.when(F.col("_new").isNotNull(), F.lit("name"))
+    return rows.select("doc", "text_hash", "at", "part", kind.alias("type"), "before", F.coalesce(shaped(F.lit("name"), F.col("raw"), F.col("_new")), "raw").alias("new"), "tail")
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -217,16 +258,19 @@ def replace(docs: DataFrame, key: str, text: str = "text", id_col: str = "doc_id
     table_ = cut_lineage(assign(cut_lineage(entities), key))
     near = F.broadcast(table_) if broadcastable(table_, 500_000, 64 << 20) else table_
     new = seen.join(near, ["type", "role", "norm"], "left").select(
-        "doc", "text_hash", "at", "part", "type", F.coalesce(shaped(F.col("type"), F.col("raw"), F.col("new")), "raw").alias("new"), "head")
-    words = F.transform(F.array_sort(F.collect_set(F.struct("at", "part", "head", "new", "type"))), lambda x: x)
-    each = new.groupBy("doc", "text_hash").agg(words.alias("_parts"))
+        "doc", "text_hash", "at", "part", "type", F.coalesce(shaped(F.col("type"), F.col("raw"), F.col("new")), "raw").alias("new"), F.col("head").alias("before"), "tail")
+    new = new.withColumn("gap", F.lit(False)).unionByName(bare_names(docs, seen, near, text, id_col).withColumn("gap", F.lit(True)))
+    # What stands before a mention sorts before it.
+    words = F.array_sort(F.collect_set(F.struct("at", (~F.col("gap")).alias("entity"), "part", "before", "new", "tail", "type")))
+    each = new.groupBy("doc", "text_hash").agg(words.alias("_parts"), F.max("gap").alias("_whole"))
     # A mention's parts follow each other; those after the first are joined on without a piece of text between.
-    per = cut_lineage(each.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "_parts"))
+    per = cut_lineage(each.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "_parts", "_whole"))
     side = F.broadcast(per) if broadcastable(per, 500_000, 64 << 20) else per
     mine = docs[id_col].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs[text]) == F.col("_hash"))
-    both = docs.join(side, mine, "left").select(*[docs[c] for c in docs.columns], "_parts", F.when(F.col("_parts").isNotNull(), F.split(docs[text], ANY, -1)).alias("_gaps"))
-    filled = F.transform("_parts", lambda p: F.concat(F.when(p["part"] == 0, F.get(F.col("_gaps"), p["at"])).otherwise(""), p["head"], p["new"]))
-    clean = F.concat(F.array_join(filled, ""), F.element_at("_gaps", -1))
+    both = docs.join(side, mine, "left").select(*[docs[c] for c in docs.columns], "_parts", "_whole", F.when(~F.col("_whole"), F.split(docs[text], ANY, -1)).alias("_gaps"))
+    gap = lambda p: F.when(~F.col("_whole") & (p["part"] == 0), F.get(F.col("_gaps"), p["at"])).otherwise("")
+    filled = F.transform("_parts", lambda p: F.concat(gap(p), p["before"], p["new"], p["tail"]))
+    clean = F.concat(F.array_join(filled, ""), F.when(F.col("_whole"), "").otherwise(F.element_at("_gaps", -1)))
     named = F.transform(F.filter("_parts", lambda p: p["type"].isNotNull()), lambda p: F.struct(p["type"].alias("type"), p["new"].alias("surrogate")))
     return both.select(*docs.columns, F.when(F.col("_parts").isNull(), F.col(text)).otherwise(clean).alias("_clean"),
                        F.coalesce(named, F.array().cast("array<struct<type:string,surrogate:string>>")).alias("_found"))

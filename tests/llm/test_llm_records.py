@@ -62,6 +62,30 @@ def test_surrogates_keep_type_format_and_coreference(spark):
     assert cleaned(spark, CASES) == got and cleaned(spark, CASES, "another key")[4] != got[4]
 
 
+def test_bare_mentions_of_a_documents_names(spark):
+    rows = [(1, "Dr. Anna Schmidt’s came. Schmidt said SCHMIDT, Anna's 'Schmidt' and Schmidt-like schmidt; Schmidter (Anna)"), (2, "Schmidt has no title here, Anna"),
+            (None, "Mr Paul-Otto O'Neil at a@b.com: O'Neil, Paul-Otto"), (3, "Schmidt before Frau Schmidt"), (3, "Schmidt before Frau Schmidt"), (3, "a@b.com Ms Anna.")]
+    got = sorted((str(r["doc_id"]), r["_clean"], [(x["type"], x["surrogate"]) for x in r["_found"]]) for r in pii.replace(odd_docs(spark, rows), "k").collect())
+    assert len(got) == 6
+    first, found = got[0][1:]
+    a, s = found[0][1], found[1][1]
+    assert first == f"Dr. {a} {s}’s came. {s} said {s.upper()}, {a}'s '{s}' and {s}-like schmidt; Schmidter ({a})" and a != s
+    assert found == [("name", x) for x in (a, s, s, s.upper(), a, s, s, a)]
+    assert got[1][1:] == (rows[1][1], [])
+    assert got[2][1] == got[3][1] == f"{s} before Frau {s}"
+    (_, p), (_, o), (kind, mail), *rest = got[5][2]
+    assert got[5][1] == f"Mr {p} {o} at {mail}: {o}, {p}" and kind == "email" and rest == [("name", o), ("name", p)]
+    assert got[4][1] == f"{mail} Ms {got[4][2][1][1]}."
+
+
+def test_national_phone_numbers(spark):
+    text = "(386) 555-3733, 386-555-3733 or 386.555.3733, 1-386-555-3733, +1 (386) 555-3733; not 386-555-37333, 2.386.555.3733, 12-386-555-3733"
+    clean, found = cleaned(spark, [(1, text)])[1]
+    assert [k for k, _ in found] == ["phone"] * 5 and {re.sub(r"\D", "", n)[-10:] for _, n in found} != {"3865553733"}
+    assert len({re.sub(r"\D", "", n)[-10:] for _, n in found}) == 1
+    assert re.sub(r"\d", "0", clean) == re.sub(r"\d", "0", text) and clean.split("; ")[1] == text.split("; ")[1]
+
+
 def test_surrogates_stay_distinct_when_they_would_meet(spark, monkeypatch):
     """With two digits to draw from, most first draws meet others or entities of the corpus."""
     entities = spark.createDataFrame([("ssn", "", f"{k:02d}", "n") for k in range(0, 45)], "type string, role string, norm string, gender string")
