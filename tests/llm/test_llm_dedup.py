@@ -112,6 +112,16 @@ def test_line_dedup_against_brute_force(spark):
     check_lines(spark, documents(spark))
 
 
+def test_short_lines_of_least_similarity_meet_in_a_band(spark):
+    """Lines of 9 shingles, 8 of them shared (similarity 0.8)."""
+    rnd = random.Random(8)
+    lines = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=17)).replace(" ", "x") for _ in range(4000)]
+    rows = [(2 * k + i, t[i : i + 16]) for k, t in enumerate(lines) for i in (0, 1)]
+    df = spark.createDataFrame(rows, "doc long, line string")
+    found = {r["doc"]: set(r["buckets"]) for r in linededup.signatures(df, linededup.SHINGLE, linededup.BANDS, linededup.ROWS).select("doc", "buckets").collect()}
+    assert sum(bool(found[2 * k] & found[2 * k + 1]) for k in range(4000)) >= 0.995 * 4000
+
+
 def test_line_dedup_in_rounds(spark, monkeypatch):
     """Bands of one minimum give buckets with lines of several components; those take several rounds."""
     monkeypatch.setattr(linededup, "DIRECT", 0)
