@@ -2,7 +2,8 @@
 
 Categories are predicted one after the other by linear models over words; each model also reads the log-odds that the
 earlier ones give. In training, those are out-of-fold: they come from models that haven't seen the row, so that a
-later model learns how far an earlier one can be trusted.
+later model learns how far an earlier one can be trusted. A fold's model takes the intercept of the model of all folds, for
+its own says what the rate among the rows left out is.
 
 Which words serve as features is decided over all labelled documents: tasks count, for each word hash, the documents
 of every category that hold it, Spark sums the counts, and the ``FEATURES`` words with the largest
@@ -168,7 +169,8 @@ def fit_chain(row: np.ndarray, col: np.ndarray, width: int, y: np.ndarray, fold:
             for f in range(folds):
                 here = fold == f
                 model = fitted(known & ~here, y[:, k])
-                out[here] = model.logit(row, col, dense)[here]
+                # The intercept tells the rate of the other folds, hence this fold's own: the whole model's stands in.
+                out[here] = model.logit(row, col, dense)[here] - model.b + models[-1].b
             dense = np.column_stack([dense, np.clip(out, -30, 30)])
     return models
 
