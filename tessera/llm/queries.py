@@ -14,6 +14,7 @@ from tessera.llm.decontam import OP9_SQL, op9_decontam
 from tessera.llm.kneser_ney import op1_kneser_ney
 from tessera.llm.langid import op5_langid
 from tessera.llm.linededup import op2_linededup
+from tessera.llm.pieces import op11_pieces
 from tessera.llm.pii import op6_pii
 from tessera.llm.simhash import op4_simhash
 from tessera.llm.toxicity import op7_toxicity
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_covertree": op8_covertree,
     "op9_decontam": op9_decontam,
     "op10_warc": op10_warc,
+    "op11_pieces": op11_pieces,
 }
 
 ORACLES: dict[str, str] = {"op8_covertree": OP8_SQL, "op9_decontam": OP9_SQL, "op10_warc": OP10_SQL}
