@@ -45,10 +45,10 @@ def test_random_texts_streams_and_small_cache(real, agenda, monkeypatch):
     texts = ["".join(rnd.choice("aab e▁éit'\n1the ion  日🎉\t") for _ in range(rnd.randint(0, 300))) for _ in range(800)]
     want = real.encode(texts, add_eos=True)
     assert agenda.encode(texts) == want
-    monkeypatch.setattr(pieces, "CACHE_SECTIONS", 40)
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 40)
     small = pieces.Agenda(pieces.read_model(MODEL))
     assert [small.encode([t])[0] for t in texts] == want
-    assert [sum(small.encode_stream(t, 3), []) for t in texts[:60]] == want[:60]
+    assert [sum((ids for ids, _ in small.encode_stream(t, words=3)), []) for t in texts[:60]] == want[:60]
 
 
 def test_any_ids_decode_like_the_library(real, agenda):
@@ -67,11 +67,25 @@ def test_long_text_goes_as_a_stream(spark, real, monkeypatch):
     assert list(r[1]["ids"]) == real.encode(text, add_eos=True) and r[1]["agrees"] and r[2]["agrees"]
 
 
+def test_a_word_encoded_otherwise_is_noted(agenda, real):
+    class Other:
+        def encode(self, words, num_threads):
+            return [[5] if w == "bad" else real.encode(w) for w in words]
+
+    fresh = pieces.Agenda(agenda.v)
+    assert fresh.encode_checked(["good one", "a bad one", "good"], Other())[1] == [True, False, True]
+    assert fresh.encode_checked(["a bad end"], Other())[1] == [False]  # from the cache
+
+
 def test_ties_of_equal_scores_go_left_first():
     v = pieces.Vocabulary(["<unk>", "</s>", "a", "b", "ab", "ba", "aba"], [0, 0, -3, -3, -1, -1, -2], [2, 3, 1, 1, 1, 1, 1], False, False, True, False, "?", 1)
     a = pieces.Agenda(v)
     assert a.encode(["aba", "bab", "x"]) == [[6, 1], [5, 3, 1], [0, 1]]
     assert a.decode([6, 0, 1]) == "aba?"
+    assert [a.long_word(w) for w in ("aba", "bab", "x")] == [[6], [5, 3], [0]]
+    v.pieces[3] = "bx"  # b occurs in pieces without being one, c in none
+    v.byte_fallback, odd = False, pieces.Agenda(v)
+    assert odd.encode(["abac", "b"]) == [[6, 0, 1], [0, 1]]
 
 
 def test_query_whole_table_and_decode(spark, real):
