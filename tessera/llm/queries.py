@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.bpe import op3_bpe
 from tessera.llm.covertree import OP8_SQL, op8_covertree
 from tessera.llm.decontam import OP9_SQL, op9_decontam
+from tessera.llm.importance import OP12_SQL, op12_importance
 from tessera.llm.kneser_ney import op1_kneser_ney
 from tessera.llm.langid import op5_langid
 from tessera.llm.linededup import op2_linededup
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontam": op9_decontam,
     "op10_warc": op10_warc,
     "op11_pieces": op11_pieces,
+    "op12_importance": op12_importance,
 }
 
-ORACLES: dict[str, str] = {"op8_covertree": OP8_SQL, "op9_decontam": OP9_SQL, "op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {"op8_covertree": OP8_SQL, "op9_decontam": OP9_SQL, "op10_warc": OP10_SQL, "op12_importance": OP12_SQL}
