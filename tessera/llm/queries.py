@@ -19,6 +19,7 @@ from tessera.llm.pieces import op11_pieces
 from tessera.llm.pii import op6_pii
 from tessera.llm.simhash import op4_simhash
 from tessera.llm.toxicity import op7_toxicity
+from tessera.llm.trie import OP13_SQL, op13_trie
 from tessera.llm.warc import OP10_SQL, op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -34,6 +35,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_pieces": op11_pieces,
     "op12_importance": op12_importance,
+    "op13_trie": op13_trie,
 }
 
-ORACLES: dict[str, str] = {"op8_covertree": OP8_SQL, "op9_decontam": OP9_SQL, "op10_warc": OP10_SQL, "op12_importance": OP12_SQL}
+ORACLES: dict[str, str] = {"op8_covertree": OP8_SQL, "op9_decontam": OP9_SQL, "op10_warc": OP10_SQL, "op12_importance": OP12_SQL,
+                           "op13_trie": OP13_SQL}
