@@ -9,9 +9,9 @@ the k folds of the k-fold job, a count fixed by the caller. The assembled train
 written once to the shared folder (compact: id, vector, label), so the iterations and the folds never re-run the feature
 plan.
 
-Defaults are the reference's settings as far as the ml learners have them; scores differ from its libraries by
-construction. Boosting stops at the first round that doesn't lower the validation error (the learner has no patience
-setting), grows trees to a depth (depth 5 stands for 31 leaves), and has no L2 weight on leaves.
+Defaults are the reference's settings as far as the learners have them; scores differ from its libraries by
+construction. The k-fold and the linear job have learners of their own
+(:mod:`tessera.operators.boosting`, :mod:`tessera.operators.ftrl`).
 """
 
 from __future__ import annotations
@@ -23,10 +23,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.nulls import sigmoid
+from tessera.functions.nulls import nan_safe_sigmoid
+from tessera.operators import ftrl
 from tessera.operators.assemble import split_by_presence
-from tessera.operators.ensemble import fold_mean
-from tessera.operators.splits import hash_split, kfold
+from tessera.operators.boosting import Settings, kfold_boosting
+from tessera.operators.splits import hash_split
 from tessera.session import cut_lineage
 
 
@@ -98,49 +99,31 @@ def gbt_score(train: DataFrame, test: DataFrame, features, label: str, key: str
 
 
 def gbt_kfold_score(train: DataFrame, test: DataFrame, features, label: str, key: str = "id", k: int = 5,
-                    seed: int = 0, max_iter: int = 10000, step: float = 0.025, max_depth: int = 5,
-                    subsample: float = 0.85, colsample: float = 0.85, validation_tol: float = 0.0,
-                    out_of_fold: bool = False) -> DataFrame:
-    """k models, each trained with one fold as its early-stopping validation set; test scores and (like the
+                    seed: int = 0, max_iter: int = 10000, step: float = 0.025, leaves: int = 31, max_depth: int = 14,
+                    subsample: float = 0.85, bag_every: int = 5, colsample: float = 0.85, l2: float = 1.0, min_rows: int = 20,
+                    patience: int = 100, max_bins: int = 63, out_of_fold: bool = False) -> DataFrame:
+    """k models of :mod:`tessera.operators.boosting`, each with one fold as its validation set: a model stops when ``patience``
+    rounds haven't raised the validation AUC and predicts at its best round. Test scores and (like the
     reference) in-sample train scores are averaged over the k models. ``out_of_fold=True`` instead scores
     each training row only by the model that did not train on it."""
-    folded = kfold(train, k=k, method="hash", seed=seed, key=key, out="_fold")
-    tr_all, te = _prep(folded, test, features, label, key, keep=("_fold",))
-    parts = []
-    for f in range(k):
-        tr = tr_all.withColumn("_valid", F.col("_fold") == f)
-        m = _gbt(max_iter, step, max_depth, subsample, colsample, seed, validationIndicatorCol="_valid",
-                 validationTol=validation_tol).fit(tr)
-        scored_train = tr_all.where(F.col("_fold") == f) if out_of_fold else tr_all
-        parts.append(_score_both(m, scored_train, te, key).withColumn("fold", F.lit(f)))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    tr, te = _prep(train, test, features, label, key)
+    s = Settings(step, leaves, max_depth, l2, min_rows, subsample=subsample, bag_every=bag_every, colsample=colsample, seed=seed)
+    u, _ = kfold_boosting(tr, te, key, k, max_iter, patience, max_bins, s)
+    u = cut_lineage(u)
     if out_of_fold:
-        te_mean = fold_mean(u.where(F.col("set") == "test").select("id", "score")).withColumn("set", F.lit("test"))
-        tr_oof = u.where(F.col("set") == "train").select("set", "id", "score")
-        return tr_oof.unionByName(te_mean.select("set", "id", "score"))
+        u = u.where("set = 'test' or fold = own")
     return u.groupBy("set", "id").agg(F.avg("score").alias("score"))
 
 
-def linear_score(train: DataFrame, test: DataFrame, features, label: str, key: str = "id", l1: float = 0.1,
-                 l2: float = 1000.0, max_iter: int = 2, fill: str = "zero") -> DataFrame:
-    """Regularised logistic regression; the raw margin goes through the NaN-safe sigmoid (#18).
-
-    The reference's online learner adds its L1/L2 penalties once per data set, Spark's ``regParam`` once per
-    mean loss: ``regParam = (l1 + l2) / n_train``, ``elasticNetParam = l1 / (l1 + l2)``.
-    """
+def linear_score(train: DataFrame, test: DataFrame, features, label: str, key: str = "id", alpha: float = 0.01, beta: float = 0.1,
+                 l1: float = 0.1, l2: float = 1000.0, max_iter: int = 2, fill: str = "zero", shards: int | None = None) -> DataFrame:
+    """FTRL-proximal with the identity link, ``max_iter`` passes (:mod:`tessera.operators.ftrl`); the margin goes through the NaN-safe
+    sigmoid (#18), whose ``fill`` says what a NaN margin becomes: zero, or the mean margin of its set."""
     tr, te = _prep(train, test, features, label, key)
-    n = max(tr.count(), 1)
-    lam = l1 + l2
-    m = LogisticRegression(maxIter=max_iter, regParam=lam / n, elasticNetParam=(l1 / lam) if lam else 0.0,
-                           standardization=True).fit(tr)
-    margin = vector_to_array(F.col("rawPrediction"))[1]
-    if fill == "zero":
-        filled = F.coalesce(F.nanvl(margin, F.lit(0.0)), F.lit(0.0))
-    else:
-        raise ValueError("linear_score supports fill='zero'")
-    return _score_both(m, tr, te, key, sigmoid(filled))
+    w = cut_lineage(ftrl.weights(ftrl.fit(tr, alpha, beta, l1, l2, max_iter, shards=shards), alpha, beta, l1, l2))
+    parts = [nan_safe_sigmoid(ftrl.margins(df, key, w), "margin", fill=fill).select(F.lit(name).alias("set"), "id", F.col("margin").alias("score"))
+             for name, df in (("train", tr), ("test", te))]
+    return parts[0].unionByName(parts[1])
 
 
 def mlp_score(train: DataFrame, test: DataFrame, features, label: str, key: str = "id", hidden=(64, 32),
@@ -177,15 +160,15 @@ def split_train_merge(train: DataFrame, test: DataFrame, presence_col: str, job,
     return present.unionByName(absent)
 
 
-def score_checks(scores: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def score_checks(scores: DataFrame, labels: DataFrame | None = None, on: str = "train") -> DataFrame:
     """``(set, id, ok)``: whether each score is a probability. With ``labels(id, label)``, one more row ``('auc', -1, ok)`` says
-    whether the scores of the training rows rank them better than a constant would."""
+    whether the scores of the set ``on`` rank the labelled rows better than a constant would."""
     from tessera.operators.metrics import binned_auc
     ok = F.coalesce(F.col("score").between(0.0, 1.0) & ~F.isnan("score"), F.lit(False))
     out = scores.select("set", F.col("id").cast("long").alias("id"), ok.alias("ok"))
     if labels is None:
         return out
-    ranked = scores.where("set = 'train'").join(labels, "id")
+    ranked = scores.where(F.col("set") == on).join(labels, "id")
     auc = binned_auc(ranked, "label", "score", method="exact")
     return out.unionByName(auc.select(F.lit("auc").alias("set"), F.lit(-1).cast("long").alias("id"), F.coalesce(F.col("auc") > 0.5, F.lit(False)).alias("ok")))
 

@@ -435,10 +435,14 @@ m as (select id, index as slot, weight as value from w_project_title
 """ + "".join(f"  union all select id, (select ofs from o4) + {k}, {t} from sc\n" for k, t in enumerate(_NUM_TERMS)) + """)
 select id, cast(slot as integer) as slot, round(value, 6) as value from m where value <> 0"""
 
-for _job in ("linear_score", "gbt_score", "mlp_score"):
+for _job in ("linear_score", "gbt_score", "gbt_kfold_score", "mlp_score"):
     ORACLES[f"{_job}_check"] = with_(ESSAYS_V) + """
 select case when project_is_approved is null then 'test' else 'train' end as set, id, true as ok from essays_v
 union all select 'auc', -1, true"""
+for _job in ("rf_score", "split_train_merge"):  # fitted without every fourth id
+    ORACLES[f"{_job}_check"] = with_(ESSAYS_V) + """
+select case when project_is_approved is null or id % 4 = 0 then 'test' else 'train' end as set, id, true as ok from essays_v
+union all select 'auc', -1, true"""
 ORACLES["ensemble_stack_check"] = "select 'test' as set, doc_id as id, true as ok from documents where doc_id not in (select doc_id from labels)"
 ORACLES["softmax_wide_check"] = "select vec_id as id, true as ok from embeddings"
 

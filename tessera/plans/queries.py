@@ -658,10 +658,36 @@ for _job in ("linear_score", "gbt_score", "mlp_score"):
     checked(_job)
 
 
+@query("gbt_kfold_score_check")
+def q_gbt_kfold_score_check(spark, sf):
+    """The k-fold job, whose ranking is judged on scores of the model that each row was left out of."""
+    return md.score_checks(md.gbt_kfold_score(*model_frames(spark, sf), "features", LABEL, out_of_fold=True), essay_labels(spark, sf))
+
+
+def held_out(spark, sf):
+    """Features of the labelled essays but every fourth id, and of all the others; the labels of those left out."""
+    df = feature_frame(spark, sf)
+    known = F.col(LABEL).isNotNull() & (F.col("id") % 4 != 0)
+    return df.where(known), df.where(~known), essay_labels(spark, sf).where("id % 4 = 0")
+
+
+@query("rf_score_check")
+def q_rf_score_check(spark, sf):
+    """The forest, judged on labelled essays that it hasn't seen."""
+    tr, te, left = held_out(spark, sf)
+    return md.score_checks(md.rf_score(*encoded(tr, te), "features", LABEL), left, on="test")
+
+
+@query("split_train_merge_check")
+def q_split_train_merge_check(spark, sf):
+    """Both parts' models together, judged on labelled essays that they haven't seen."""
+    tr, te, left = held_out(spark, sf)
+    return md.score_checks(md.split_train_merge(tr, te, "project_essay_3", md.linear_score, prepare=encoded, features="features", label=LABEL), left, on="test")
+
+
 @query("ensemble_stack_check")
 def q_ensemble_stack_check(spark, sf):
-    """Coverage and range don't depend on the number of rounds, so a short run is looked at."""
-    return md.score_checks(md.ensemble_stack(*stack_parts(spark, sf), ["m1", "m2", "m3"], max_iter=20))
+    return md.score_checks(md.ensemble_stack(*stack_parts(spark, sf), ["m1", "m2", "m3"]))
 
 
 @query("softmax_wide_check")
