@@ -444,6 +444,7 @@ for _job in ("rf_score", "split_train_merge"):  # fitted without every fourth id
 select case when project_is_approved is null or id % 4 = 0 then 'test' else 'train' end as set, id, true as ok from essays_v
 union all select 'auc', -1, true"""
 ORACLES["ensemble_stack_check"] = "select 'test' as set, doc_id as id, true as ok from documents where doc_id not in (select doc_id from labels)"
+ORACLES["embed_text_svd_check"] = "select doc_id as id, true as ok from documents union all select -1, true"
 ORACLES["softmax_wide_check"] = "select vec_id as id, true as ok from embeddings"
 
 ORACLES["quick_sample"] = with_(PROJECTS_V) + \
