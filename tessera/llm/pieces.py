@@ -272,7 +272,9 @@ class Agenda:
     def encode_checked(self, texts: list[str], library=None) -> tuple[list[list[int]], list[bool]]:
         words = [self.words.findall(self.normalise(t)) for t in texts]
         ids = self.encode_words(words, library)
-        return [x + [self.v.end] for x in ids], [not self.wrong or self.wrong.isdisjoint(ws) for ws in words]
+        for x in ids:
+            x.append(self.v.end)
+        return ids, [not self.wrong or self.wrong.isdisjoint(ws) for ws in words]
 
     def encode_stream(self, text: str, library=None, words: int = 100_000) -> Iterator[tuple[list[int], bool]]:
         """Ids of one long text, some words at a time, and whether they agree with the library's."""
@@ -286,15 +288,19 @@ class Agenda:
         front goes again."""
         v, first, left = self.v, self.v.dummy_prefix or self.v.squeeze, ""
         for ids in parts:
-            cuts = [k for k, i in enumerate(ids) if i in self.controls] if not self.controls.isdisjoint(ids) else []
+            stop = len(ids)
+            while stop and ids[stop - 1] in self.controls:  # the end id, as a rule
+                stop -= 1
+            body = ids[:stop]
+            cuts = [k for k, i in enumerate(body) if i in self.controls] if not self.controls.isdisjoint(body) else []
             out = []
-            for a, b in zip([0, *(k + 1 for k in cuts)], [*cuts, len(ids)]):
+            for a, b in zip([0, *(k + 1 for k in cuts)], [*cuts, stop]):
                 head = ""
                 while first and a < b:
                     piece = self.say[ids[a]]
                     drop = v.kinds[ids[a]] == NORMAL and piece.startswith(" ")
                     head, first, a = piece[drop:], v.squeeze and drop and len(piece) == 1, a + 1
-                said = left + head + "".join(map(self.say.__getitem__, ids[a:b]))
+                said = left + head + "".join(map(self.say.__getitem__, body[a:b]))
                 whole = said.rstrip(BYTES) if b == len(ids) else said  # a run of bytes may go on in the next part
                 left = said[len(whole) :]
                 out.append(whole.encode("utf-8", "surrogateescape").decode("utf-8", "each_byte"))
