@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names made of ``names`` that ``df`` doesn't have (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    mark = "_"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only, as the contracts of several operators ask."""
     return F.translate(c, UPPER, LOWER)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower, table
+from tessera.llm.common import ascii_lower, fresh, table
 from tessera.operators.joins import broadcastable
 from tessera.session import cut_lineage
 
@@ -95,19 +95,19 @@ def report(docs: DataFrame, bench: DataFrame, text: str = "text", id_col: str =
 def decontaminate(docs: DataFrame, bench: DataFrame, text: str = "text", id_col: str = "doc_id", remove: str = "documents") -> DataFrame:
     """``docs`` without its contaminated documents, or (``remove="spans"``) with all documents but without the hit
     words in any of them. Columns and their order stay."""
-    found = report(docs, bench, text, id_col).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "spans", "contaminated")
+    id_, hash_, hits = fresh(docs, "id", "hash", "hits")
+    found = report(docs, bench, text, id_col).select(F.col(id_col).alias(id_), F.col("text_hash").alias(hash_), F.col("spans").alias(hits), F.col("contaminated").alias("bad"))
+    mine = docs[id_col].eqNullSafe(F.col(id_)) & (F.xxhash64(docs[text]) == F.col(hash_))
     if remove == "documents":
-        found = cut_lineage(found.where("contaminated").drop("spans"))
-        return docs.join(found, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_hash")), "left_anti")
-    found = cut_lineage(found.where(F.size("spans") > 0).select("_id", "_hash", F.col("spans").alias("_spans")))
-    both = docs.join(found, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_hash")), "left")
+        return docs.join(cut_lineage(found.where("bad").select(id_, hash_)), mine, "left_anti")
+    both = docs.join(cut_lineage(found.where(F.size(hits) > 0).drop("bad")), mine, "left")
     gaps = F.split(docs[text], RAW_WORD, -1)
     own = F.regexp_extract_all(docs[text], F.lit(RAW_WORD), F.lit(0))
-    at = F.flatten(F.transform("_spans", lambda s: F.sequence(s["at"], s["at"] + s["m"] - 1)))
+    at = F.flatten(F.transform(hits, lambda s: F.sequence(s["at"], s["at"] + s["m"] - 1)))
     stay = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), at)
     kept = F.concat(F.get(gaps, F.lit(0)), F.array_join(F.transform(stay, lambda k: F.concat(F.get(own, k), F.get(gaps, k + 1))), ""))
     # A text that is hit throughout has nothing to keep but what stood before its first word.
-    return both.select(*[F.when(F.col("_spans").isNotNull(), kept).otherwise(docs[c]).alias(c) if c == text else docs[c] for c in docs.columns])
+    return both.select(*[F.when(F.col(hits).isNotNull(), kept).otherwise(docs[c]).alias(c) if c == text else docs[c] for c in docs.columns])
 
 
 def op9_decontam(spark, sf_dir: str) -> DataFrame:

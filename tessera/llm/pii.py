@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import fresh, table
 from tessera.operators.joins import broadcastable
 from tessera.session import cut_lineage
 
@@ -250,8 +250,13 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     raise ValueError(f"no distinct surrogates for some entities after {ATTEMPTS} attempts")
 
 
+#: The columns that :func:`replace` adds.
+ADDED = ("_clean", "_found")
+
+
 def replace(docs: DataFrame, key: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with ``_clean`` (the text with surrogates) and ``_found`` (``array<struct<type, surrogate>>`` in order)."""
+    """``docs`` with ``_clean`` (the text with surrogates) and ``_found`` (``array<struct<type, surrogate>>`` in order).
+    Columns of those names in ``docs`` are replaced; all others stay, whatever their names."""
     # Numbers that merely look like a card have no type and stay as they are.
     seen = cut_lineage(mentions(docs, text, id_col))
     entities = seen.where("type is not null").groupBy("type", "role", "norm").agg(F.min("gender").alias("gender"))  # f or m before n
@@ -262,17 +267,19 @@ def replace(docs: DataFrame, key: str, text: str = "text", id_col: str = "doc_id
     new = new.withColumn("gap", F.lit(False)).unionByName(bare_names(docs, seen, near, text, id_col).withColumn("gap", F.lit(True)))
     # What stands before a mention sorts before it.
     words = F.array_sort(F.collect_set(F.struct("at", (~F.col("gap")).alias("entity"), "part", "before", "new", "tail", "type")))
-    each = new.groupBy("doc", "text_hash").agg(words.alias("_parts"), F.max("gap").alias("_whole"))
+    doc, hash_, parts, whole, gaps = fresh(docs, "doc", "hash", "parts", "whole", "gaps")
+    each = new.groupBy("doc", "text_hash").agg(words.alias(parts), F.max("gap").alias(whole))
     # A mention's parts follow each other; those after the first are joined on without a piece of text between.
-    per = cut_lineage(each.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "_parts", "_whole"))
+    per = cut_lineage(each.select(F.col("doc").alias(doc), F.col("text_hash").alias(hash_), parts, whole))
     side = F.broadcast(per) if broadcastable(per, 500_000, 64 << 20) else per
-    mine = docs[id_col].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs[text]) == F.col("_hash"))
-    both = docs.join(side, mine, "left").select(*[docs[c] for c in docs.columns], "_parts", "_whole", F.when(~F.col("_whole"), F.split(docs[text], ANY, -1)).alias("_gaps"))
-    gap = lambda p: F.when(~F.col("_whole") & (p["part"] == 0), F.get(F.col("_gaps"), p["at"])).otherwise("")
-    filled = F.transform("_parts", lambda p: F.concat(gap(p), p["before"], p["new"], p["tail"]))
-    clean = F.concat(F.array_join(filled, ""), F.when(F.col("_whole"), "").otherwise(F.element_at("_gaps", -1)))
-    named = F.transform(F.filter("_parts", lambda p: p["type"].isNotNull()), lambda p: F.struct(p["type"].alias("type"), p["new"].alias("surrogate")))
-    return both.select(*docs.columns, F.when(F.col("_parts").isNull(), F.col(text)).otherwise(clean).alias("_clean"),
+    mine = docs[id_col].eqNullSafe(F.col(doc)) & (F.xxhash64(docs[text]) == F.col(hash_))
+    own = [c for c in docs.columns if c not in ADDED]
+    both = docs.join(side, mine, "left").select(*[docs[c] for c in own], docs[text].alias(doc), parts, whole, F.when(~F.col(whole), F.split(docs[text], ANY, -1)).alias(gaps))
+    gap = lambda p: F.when(~F.col(whole) & (p["part"] == 0), F.get(F.col(gaps), p["at"])).otherwise("")
+    filled = F.transform(parts, lambda p: F.concat(gap(p), p["before"], p["new"], p["tail"]))
+    clean = F.concat(F.array_join(filled, ""), F.when(F.col(whole), "").otherwise(F.element_at(gaps, -1)))
+    named = F.transform(F.filter(parts, lambda p: p["type"].isNotNull()), lambda p: F.struct(p["type"].alias("type"), p["new"].alias("surrogate")))
+    return both.select(*own, F.when(F.col(parts).isNull(), F.col(doc)).otherwise(clean).alias("_clean"),
                        F.coalesce(named, F.array().cast("array<struct<type:string,surrogate:string>>")).alias("_found"))
 
 

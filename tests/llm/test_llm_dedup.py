@@ -124,7 +124,7 @@ def test_short_lines_of_least_similarity_meet_in_a_band(spark):
 
 def test_line_dedup_in_rounds(spark, monkeypatch):
     """Bands of one minimum give buckets with lines of several components; those take several rounds."""
-    monkeypatch.setattr(linededup, "DIRECT", 0)
+    monkeypatch.setattr(linededup, "PIVOTS", 1)
     docs = list(enumerate(variants(5, 1) + variants(4, 2) + variants(4, 3) + variants(3, 4)))
     check_lines(spark, docs, bands=6, rows=1, shingle=2, threshold=0.8)
 
