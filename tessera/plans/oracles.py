@@ -571,3 +571,8 @@ select e.id, """ + ", ".join(
     f"cast(count(*) filter (where c.field = '{f}' and c.class = {k}) as bigint) as {f}_{k}_count"
     for f in TEXT_COLS for k in range(8)) + """
 from essays_v e left join c on e.id = c.id group by e.id"""
+
+
+ORACLES["tag_counts_check"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS) + """
+select id, field, count(*) as n_tokens, count(*) filter (where length(token) % 7 <> 6) as n_listed, cast(0 as bigint) as n_wrong
+from toks group by id, field"""

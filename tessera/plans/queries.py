@@ -203,6 +203,40 @@ def q_token_class_matrix(spark, sf):
     return lx.token_class_matrix(e, T.TEXT_COLS, T.lexicon_v(spark, sf), [str(k) for k in range(8)])
 
 
+def tagged_essays(spark, sf):
+    """The essay texts, and their sentences with the tags of a model learned on all of them."""
+    from tessera.operators import tagger
+    e = T.essays_v(spark, sf)
+    classes = [str(k) for k in range(8)]
+    sents = cut_lineage(tagger.sentences(e, T.TEXT_COLS, T.tag_lexicon_v(spark, sf), classes))
+    return e, tagger.tag(sents, tagger.fit(sents, classes)), classes
+
+
+@query("tag_counts")
+def q_tag_counts(spark, sf):
+    from tessera.operators import tagger
+    return tagger.tag_counts(tagged_essays(spark, sf)[1])
+
+
+@query("tag_matrix")
+def q_tag_matrix(spark, sf):
+    from tessera.operators import tagger
+    e, tagged, classes = tagged_essays(spark, sf)
+    return tagger.tag_matrix(e, tagged, T.TEXT_COLS, classes)
+
+
+@query("tag_counts_check")
+def q_tag_counts_check(spark, sf):
+    """For each text and field: its tokens, those that the lexicon knows, and those whose tag the lexicon doesn't allow."""
+    _, tagged, _ = tagged_essays(spark, sf)
+    n = F.length("token")
+    second = F.when(n % 2 == 0, (n + 3) % 8).otherwise(n % 8)
+    one = tagged.select("id", "field", F.explode(F.arrays_zip("toks", "tags")).alias("x")).select("id", "field", F.col("x.toks").alias("token"), F.col("x.tags").cast("int").alias("tag"))
+    listed = n % 7 != 6
+    return one.groupBy("id", "field").agg(F.count(F.lit(1)).alias("n_tokens"), F.count(F.when(listed, 1)).alias("n_listed"),
+                                          F.count(F.when(listed & (F.col("tag") != n % 8) & (F.col("tag") != second), 1)).alias("n_wrong"))
+
+
 @query("lexicon_score")
 def q_lexicon_score(spark, sf):
     return lx.lexicon_score(T.essays_v(spark, sf), ESSAYS, T.lexicon_v(spark, sf))

@@ -97,6 +97,14 @@ def lexicon_v(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    ((n % 3) / F.lit(2.0)).alias("subjectivity")))
 
 
+def tag_lexicon_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test lexicon for the tagger: the tokens of :func:`lexicon_v` with their class, those of even length with a second one."""
+    base = lexicon_v(spark, sf_dir)
+    n = F.length("token")
+    every = F.when(n % 2 == 0, F.array("class", (n + 3) % 8)).otherwise(F.array("class"))
+    return base.select("token", F.explode(every.cast("array<string>")).alias("class"))
+
+
 def word_vectors_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test word vectors ``(word, vec)``: corpus tokens ranked by count (desc) then token; the token of rank r
     takes ``embeddings.vec_id = r - 1`` (so only the most frequent tokens have a vector)."""
