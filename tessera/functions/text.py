@@ -66,27 +66,60 @@ def word_count(col) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _accent_map() -> tuple[str, str]:
-    """Built from a rule: every assigned code point of the Basic Multilingual Plane whose compatibility
-    decomposition, with combining marks removed, is exactly one other character (accented Latin, Greek
-    and Cyrillic letters, Latin Extended Additional, ...). A decomposition into several characters (a
-    ligature) has no one-to-one replacement and is left as it is."""
-    src, dst = [], []
+def _decompositions() -> dict[str, str]:
+    """Built from a rule: what every assigned code point of the Basic Multilingual Plane becomes under compatibility
+    decomposition without marks, where that is another text (accented letters, full-width forms, ligatures, digraphs,
+    fractions, syllables; a mark itself becomes empty, as Java's tables of marks may be older)."""
+    out = {}
     for cp in range(0x80, 0x10000):
         ch = chr(cp)
         if unicodedata.category(ch) in ("Cs", "Co", "Cn"):
             continue
-        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if len(base) == 1 and base != ch:
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
+        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.category(c).startswith("M"))
+        if base != ch:
+            out[ch] = base
+    return out
+
+
+def _char_class(chars) -> str:
+    """A regex class of the characters, as ranges of code points."""
+    runs: list[list[int]] = []
+    for cp in sorted(map(ord, chars)):
+        if runs and cp == runs[-1][1] + 1:
+            runs[-1][1] = cp
+        else:
+            runs.append([cp, cp])
+    return "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in runs) + "]"
+
+
+def _expanded(t: Column, many: dict[str, str]) -> Column:
+    """``t`` with the keys of ``many`` replaced by their values. The k-th copy of the text holds the k-th character of each
+    value; a copy that still has the character itself has nothing to add there. (No value holds its own key.)"""
+    chars = lambda c: F.regexp_extract_all(c, F.lit(r"(?s)."), 0)
+    copies = []
+    for k in range(max(map(len, many.values()))):
+        at = {c: v[k] for c, v in many.items() if k < len(v)}
+        copies.append(chars(F.translate(t, "".join(at), "".join(at.values()))).alias(f"c{k}"))
+    zipped = F.arrays_zip(chars(t).alias("own"), *copies)
+    rest = lambda x: [F.when(x[f"c{k}"] != x["own"], x[f"c{k}"]).otherwise("") for k in range(1, len(copies))]
+    return F.array_join(F.transform(zipped, lambda x: F.concat(x["c0"], *rest(x))), "")
 
 
 def strip_accents(col) -> Column:
-    """Remove accents: precomposed Latin letters map to their base letter, stand-alone combining marks go."""
-    src, dst = _accent_map()
-    return F.regexp_replace(F.translate(_c(col), src, dst), r"\p{M}", "")
+    """Compatibility decomposition without marks, for the Basic Multilingual Plane: precomposed letters become their base
+    letter, ligatures, digraphs, fractions and syllables their parts, and stand-alone marks go.
+
+    One-to-one replacements are one ``translate``. Only a text that holds a character with several parts takes the dearer
+    way for those, and only one with a part list of over three the dearest. Null stays null."""
+    every = _decompositions()
+    one = {c: v for c, v in every.items() if len(v) <= 1}
+    some = {c: v for c, v in every.items() if 2 <= len(v) <= 3}
+    many = {c: v for c, v in every.items() if len(v) >= 2}
+    c = _c(col)
+    # Characters that vanish come last: translate() deletes what has no counterpart.
+    order = sorted(one, key=lambda ch: not one[ch])
+    t = F.when(c.rlike(_char_class(many.keys() - some.keys())), _expanded(c, many)).when(c.rlike(_char_class(some)), _expanded(c, some)).otherwise(c)
+    return F.regexp_replace(F.translate(t, "".join(order), "".join(one[ch] for ch in order)), r"\p{M}", "")
 
 
 def pairwise_overlap_count(a, b) -> Column:

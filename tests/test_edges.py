@@ -146,6 +146,19 @@ def test_numeric_coerce_strict_raises(spark):
         nulls.numeric_coerce(df, ["v"], strict=True).collect()
 
 
+def test_strip_accents_is_the_decomposition_of_every_character(spark):
+    import unicodedata as u
+
+    def plain(t):
+        return "".join(c for c in u.normalize("NFKD", t) if not u.category(c).startswith("M"))
+    chars = [chr(cp) for cp in range(1, 0x10000) if u.category(chr(cp)) not in ("Cs", "Co", "Cn")]
+    texts = chars + ["".join(chars[k:k + 50]) for k in range(0, len(chars), 50)] + ["ﬁn ½ cup \U0001F389 ﷺ 한국어 Ǆ", "\U0001F389 é", "plain", ""]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").repartition(8)
+    got = {r["t"]: r["s"] for r in df.select("t", tx.strip_accents("t").alias("s")).collect()}
+    assert got.pop(None) is None
+    assert [t for t, v in got.items() if v != plain(t)] == []
+
+
 def test_keyword_counts_exact_tokens(spark):
     df = spark.createDataFrame([(1, "book book computer my students")], "id long, t string")
     got = {(r["keyword"], r["count"]) for r in lx.keyword_counts(df, ["t"], lx.REFERENCE_KEYWORDS).collect()}
