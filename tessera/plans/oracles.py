@@ -576,3 +576,79 @@ from essays_v e left join c on e.id = c.id group by e.id"""
 ORACLES["tag_counts_check"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS) + """
 select id, field, count(*) as n_tokens, count(*) filter (where length(token) % 7 <> 6) as n_listed, cast(0 as bigint) as n_wrong
 from toks group by id, field"""
+
+
+# Learned sentence boundaries: tokens with their neighbours, type tables, log-likelihood ratios, decisions.
+RAW_TEXT = "raw_text as (" + " union all ".join(f"select id, '{c}' as field, coalesce({c}, '') as text from essays_v" for c in TEXT_COLS) + ")"
+PLACES = """places as (
+  select id, field, pos, mark, letter, case when regexp_matches(typ, '^[+-]?[.,]?[0-9][0-9.,-]*\\z') then '##' else typ end as typ
+  from (select id, field, pos,
+          case when regexp_matches(core, '[!?][.!?]*\\z') or core = '.' then 'end' when regexp_matches(core, '\\.\\.\\z|…\\z') then 'dots'
+               when regexp_matches(core, '\\.\\z') then 'stop' else 'none' end as mark,
+          case when regexp_matches(core, '^\\p{Lu}') then 'u' when regexp_matches(core, '^\\p{Ll}') then 'l' else 'o' end as letter,
+          lower(regexp_replace(core, '[.!?…,;:]+\\z', '')) as typ
+        from (select id, field, generate_subscripts(l, 1) as pos,
+                regexp_replace(regexp_replace(unnest(l), '^["''(\\[{«“‘„¿¡*_]+', ''), '["'')\\]}»”’*_]+\\z', '') as core
+              from (select id, field, regexp_extract_all(text, '[^ \\t\\n\\f\\r]+') as l from raw_text))))"""
+NEIGHBOURS = """neighbours as (
+  select *, coalesce(lag(mark) over w, 'start') as before, case when lag(mark) over w = 'stop' then lag(typ) over w end as lft,
+         lead(typ) over w as nxt, lead(letter) over w as nxt_letter
+  from places window w as (partition by id, field order by pos))"""
+
+
+def xlogy(x: str, y: str) -> str:
+    return f"(case when ({x}) <= 0 then 0.0 else cast({x} as double) * ln({y}) end)"
+
+
+def attracted(ab: str, a: str, b: str, least: float) -> str:
+    def fit(k, m, p):
+        return f"({xlogy(k, p)} + {xlogy(f'({m}) - ({k})', f'1 - {p}')})"
+    p, p1, p2 = (f"(cast({x} as double) / ({y}))" for x, y in ((b, "n_all"), (ab, a), (f"({b}) - ({ab})", f"n_all - ({a})")))
+    rest = (f"({b}) - ({ab})", f"n_all - ({a})")
+    return (f"(case when ({ab}) * cast(n_all as double) > ({a}) * cast({b} as double) then "
+            f"2 * ({fit(ab, a, p1)} + {fit(*rest, p2)} - {fit(ab, a, p)} - {fit(*rest, p)}) >= {least} else false end)")
+
+
+ABBREVIATIONS = f"""totals as (select count(*) as n_all, coalesce(sum(case when mark = 'stop' then 1 end), 0) as n_stops from places),
+scored as (
+  select typ, n_stop, n_plain, 2 * ({xlogy('n_stop', '0.99')} + {xlogy('n_plain', '0.01')} - {xlogy('n_stop', '(n_stops / cast(n_all as double))')}
+           - {xlogy('n_plain', '(1 - n_stops / cast(n_all as double))')}) * exp(-size) * (length(typ) - size + 1) * pow(size, -n_plain) as score
+  from (select typ, count(*) filter (where mark = 'stop') as n_stop, count(*) filter (where mark <> 'stop') as n_plain,
+               cast(length(replace(typ, '.', '')) as double) as size
+        from places group by typ) cross join totals
+  where n_stop > 0 and regexp_matches(typ, '\\p{{L}}'))"""
+ORACLES["abbreviations"] = with_(ESSAYS_V, RAW_TEXT, PLACES, ABBREVIATIONS) + "select typ, n_stop, n_plain, round(score, 6) as score from scored"
+
+LEARNED = f"""short as (select typ from scored where score >= 0.3),
+known as (
+  select n.*, s.typ is not null as is_short, lft = '##' or regexp_matches(lft, '^\\p{{L}}\\z') as loose
+  from neighbours n left join short s on n.lft = s.typ),
+placed as (
+  select *, case when before = 'none' then 'inside' when before = 'dots' or (before = 'stop' and (is_short or loose)) then 'unsure' else 'start' end as place
+  from known),
+befores as (select count(*) as n_all, count(*) filter (where place = 'start' and before <> 'start') as n_after from placed),
+types as (
+  select t.*, after > 0 and regexp_matches(typ, '\\p{{L}}') and {attracted('after', 'n_after', 'n', 30.0)} as starts
+  from (select typ, count(*) as n, count(*) filter (where place = 'start' and before <> 'start') as after, bool_or(letter = 'l') as lowers, bool_or(letter = 'u') as uppers,
+               bool_or(letter = 'u' and place = 'inside') as mid_upper, bool_or(letter = 'l' and place = 'start') as start_lower
+        from placed group by typ) t cross join befores),
+bound as (
+  select c.lft, c.typ
+  from (select lft, typ, count(*) as together from placed where before = 'stop' and (is_short or loose) and regexp_matches(typ, '\\p{{L}}|##')
+        group by lft, typ having count(*) > 1) c
+  join types t on c.typ = t.typ and not t.starts join types l on c.lft = l.typ cross join befores
+  where {attracted('together', 'l.n', 't.n', 7.88)}),
+ends as (
+  select p.id, p.field, case
+      when p.mark = 'end' then true
+      when b.typ is not null then false
+      when regexp_matches(p.typ, '^\\p{{L}}\\z') then s.typ is null and not goes_on and not (nxt_letter = 'u' and not begins and not lowers)
+      when s.typ is not null or p.mark = 'dots' then begins or (nxt_letter = 'u' and starts)
+      when p.typ = '##' then not goes_on
+      else true end as ends
+  from (select n.*, t.starts, t.lowers, nxt_letter = 'u' and t.lowers and not t.mid_upper as begins, nxt_letter = 'l' and (t.uppers or not t.start_lower) as goes_on
+        from neighbours n join types t on n.nxt = t.typ where n.mark <> 'none') p
+  left join short s on p.typ = s.typ left join bound b on p.typ = b.lft and p.nxt = b.typ)"""
+ORACLES["sentence_breaks"] = with_(ESSAYS_V, RAW_TEXT, PLACES, NEIGHBOURS, ABBREVIATIONS, LEARNED) + "select e.id, " + ", ".join(
+    f"cast(regexp_matches(coalesce({c}, ''), '[^ \\t\\n\\f\\r]') as integer) + cast(count(x.id) filter (where x.field = '{c}') as integer) as {c}_sent_len" for c in TEXT_COLS
+) + " from essays_v e left join (select * from ends where ends) x on e.id = x.id group by e.id, " + ", ".join(TEXT_COLS)

@@ -237,6 +237,22 @@ def q_tag_counts_check(spark, sf):
                                           F.count(F.when(listed & (F.col("tag") != n % 8) & (F.col("tag") != second), 1)).alias("n_wrong"))
 
 
+@query("abbreviations")
+def q_abbreviations(spark, sf):
+    """Every type that has ever had a full stop, and how much its occurrences speak for an abbreviation."""
+    from tessera.operators import sentences as st
+    seen = st.observations(T.essays_v(spark, sf), T.TEXT_COLS)
+    return st.abbreviation_scores(seen).select("typ", "n_stop", "n_plain", r6("score"))
+
+
+@query("sentence_breaks")
+def q_sentence_breaks(spark, sf):
+    """Sentences of each text, by boundaries learned from all texts."""
+    from tessera.operators import sentences as st
+    e = T.essays_v(spark, sf)
+    return st.sentence_counts(e, T.TEXT_COLS, st.learn(st.observations(e, T.TEXT_COLS)))
+
+
 @query("lexicon_score")
 def q_lexicon_score(spark, sf):
     return lx.lexicon_score(T.essays_v(spark, sf), ESSAYS, T.lexicon_v(spark, sf))
