@@ -23,6 +23,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.treebank import treebank_tokens
 from tessera.operators.joins import lookup_join
 from tessera.operators.ordering import co_locate
 from tessera.session import cut_lineage
@@ -183,3 +184,12 @@ def split_sentences(df: DataFrame, cols, model: Model, key: str = "id") -> DataF
     both = both.select(F.col("_own").alias(key), F.col("f").alias("field"), "all", ends.alias("ends"))
     cut = F.transform("ends", lambda e, i: F.array_join(F.slice("all", F.coalesce(F.get("ends", i - 1) + 2, F.lit(1)), e - F.coalesce(F.get("ends", i - 1), F.lit(-1))), " "))
     return both.select(key, "field", F.when(F.size("all") > 0, cut).otherwise(F.array().cast("array<string>")).alias("sentences"))
+
+
+def treebank_counts(df: DataFrame, cols, model: Model, key: str = "id") -> DataFrame:
+    """``(key, {col}_word_len...)``: treebank tokens of each text (#50), one row per input row. Each learned sentence is tokenised by itself, so
+    that its last full stop is a token and that of an abbreviation isn't."""
+    each = F.transform("sentences", lambda s: F.size(treebank_tokens(s)))
+    one = split_sentences(df, cols, model, key).select(key, "field", F.aggregate(each, F.lit(0), lambda a, n: a + n).alias("n"))
+    # Every text has a row, so the sums need no join back to the rows.
+    return one.groupBy(key).agg(*[F.sum(F.when(F.col("field") == c, F.col("n"))).cast("int").alias(f"{c}_word_len") for c in cols])

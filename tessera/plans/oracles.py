@@ -639,7 +639,7 @@ bound as (
   join types t on c.typ = t.typ and not t.starts join types l on c.lft = l.typ cross join befores
   where {attracted('together', 'l.n', 't.n', 7.88)}),
 ends as (
-  select p.id, p.field, case
+  select p.id, p.field, p.pos, case
       when p.mark = 'end' then true
       when b.typ is not null then false
       when regexp_matches(p.typ, '^\\p{{L}}\\z') then s.typ is null and not goes_on and not (nxt_letter = 'u' and not begins and not lowers)
@@ -652,3 +652,47 @@ ends as (
 ORACLES["sentence_breaks"] = with_(ESSAYS_V, RAW_TEXT, PLACES, NEIGHBOURS, ABBREVIATIONS, LEARNED) + "select e.id, " + ", ".join(
     f"cast(regexp_matches(coalesce({c}, ''), '[^ \\t\\n\\f\\r]') as integer) + cast(count(x.id) filter (where x.field = '{c}') as integer) as {c}_sent_len" for c in TEXT_COLS
 ) + " from essays_v e left join (select * from ends where ends) x on e.id = x.id group by e.id, " + ", ".join(TEXT_COLS)
+
+
+def treebank(sentence: str) -> str:
+    """The number of treebank tokens, by the same ordered rewrites."""
+    from tessera.functions.treebank import REWRITES
+    t = f"regexp_replace(regexp_replace({sentence}, '[ \\t\\n\\f\\r]+', ' ', 'g'), '^ | \\z', '', 'g')"
+    for pattern, to in REWRITES:
+        t = f"regexp_replace({t}, {_sql_str(pattern)}, {_sql_str(to.replace('$', chr(92)))}, 'g')"
+    return f"len(list_filter(string_split({t}, ' '), lambda x: x <> ''))"
+
+
+PLACED_WORDS = """pieces as (
+  select id, field, unnest(l) as tok, generate_subscripts(l, 1) as pos
+  from (select id, field, regexp_extract_all(text, '[^ \\t\\n\\f\\r]+') as l from raw_text)),
+sents as (
+  select id, field, string_agg(tok, ' ' order by pos) as sent
+  from (select p.*, coalesce(sum(cast(x.ends as integer)) over (partition by p.id, p.field order by p.pos rows between unbounded preceding and 1 preceding), 0) as k
+        from pieces p left join ends x on p.id = x.id and p.field = x.field and p.pos = x.pos)
+  group by id, field, k)"""
+ORACLES["treebank_count"] = with_(ESSAYS_V, RAW_TEXT, PLACES, NEIGHBOURS, ABBREVIATIONS, LEARNED, PLACED_WORDS) + f""",
+counted as (select id, field, {treebank('sent')} as n from sents)
+select e.id, """ + ", ".join(f"cast(coalesce(sum(c.n) filter (where c.field = '{c}'), 0) as integer) as {c}_word_len" for c in TEXT_COLS) + """
+from essays_v e left join counted c on e.id = c.id group by e.id"""
+
+ORACLES["modified_score"] = with_(ESSAYS_V, CLEANED, LONG_TEXT, TOKS, LEXICON_V, RAW_TEXT) + f""",
+split as (select id, field, unnest(l) as text, generate_subscripts(l, 1) as sent
+          from (select id, field, string_split_regex(text, '[.!?]+[ \\t\\n\\f\\r]+|[\\n\\r]+') as l from raw_text where field in ('project_essay_1', 'project_essay_2', 'project_essay_3', 'project_essay_4'))),
+words as (select id, field, sent, unnest(l) as token, generate_subscripts(l, 1) as pos
+          from (select id, field, sent, regexp_extract_all(lower(text), '{W}+') as l from split)),
+hits as (select w.*, length(w.token) = 3 as negates, case length(w.token) when 4 then 1.5 when 8 then 0.5 end as factor, l.polarity, l.subjectivity,
+                length(w.token) not in (3, 4, 8) as scored
+         from words w join lexicon_v l on w.token = l.token),
+-- A chain begins at a sentence's first listed word, behind a scored word, and behind a gap.
+chains as (select *, sum(new) over (partition by id, field, sent order by pos) as chain
+           from (select *, case when coalesce(lag(scored) over w, true) or pos - lag(pos) over w > 3 then 1 else 0 end as new
+                 from hits window w as (partition by id, field, sent order by pos))),
+acted as (select id, greatest(-1.0, least(1.0, max(case when scored then polarity end) * coalesce(product(factor), 1.0)
+                                                 * case when count(*) filter (where negates) % 2 = 1 then -0.5 else 1.0 end)) as polarity,
+                 greatest(0.0, least(1.0, max(case when scored then subjectivity end) * coalesce(product(factor), 1.0))) as subjectivity
+          from chains group by id, field, sent, chain having bool_or(scored))
+select e.id, {half_up('coalesce(a.polarity, 0)', 2)} as polarity, {half_up('coalesce(a.subjectivity, 0)', 2)} as subjectivity
+from essays_v e left join (select id, avg(polarity) as polarity, avg(subjectivity) as subjectivity from acted group by id) a on e.id = a.id"""
+
+ORACLES["resource_rollup_split"] = ORACLES["resource_rollup"]

@@ -43,6 +43,13 @@ def q_resource_rollup(spark, sf):
     return r.select("id", "description", "total_price", "max_price", "min_price", r6("mean_price"), "quantity")
 
 
+@query("resource_rollup_split")
+def q_resource_rollup_split(spark, sf):
+    """The rollup with its descriptions joined in two levels, so that no task sorts a whole parent."""
+    r = rollup.resource_rollup(T.resources_v(spark, sf), split=True)
+    return r.select("id", "description", "total_price", "max_price", "min_price", r6("mean_price"), "quantity")
+
+
 @query("project_enrich")
 def q_project_enrich(spark, sf):
     p = T.projects_v(spark, sf)
@@ -253,6 +260,21 @@ def q_sentence_breaks(spark, sf):
     return st.sentence_counts(e, T.TEXT_COLS, st.learn(st.observations(e, T.TEXT_COLS)))
 
 
+@query("treebank_count")
+def q_treebank_count(spark, sf):
+    """Treebank tokens of each text, sentence by learned sentence."""
+    from tessera.operators import sentences as st
+    e = T.essays_v(spark, sf)
+    return st.treebank_counts(e, T.TEXT_COLS, st.learn(st.observations(e, T.TEXT_COLS)))
+
+
+@query("modified_score")
+def q_modified_score(spark, sf):
+    """Polarity and subjectivity of the essays under negation and intensifiers."""
+    from tessera.operators import modifiers
+    return modifiers.modified_score(T.essays_v(spark, sf), ESSAYS, T.modifier_lexicon_v(spark, sf))
+
+
 @query("lexicon_score")
 def q_lexicon_score(spark, sf):
     return lx.lexicon_score(T.essays_v(spark, sf), ESSAYS, T.lexicon_v(spark, sf))

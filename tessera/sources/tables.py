@@ -105,6 +105,13 @@ def tag_lexicon_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("token", F.explode(every.cast("array<string>")).alias("class"))
 
 
+def modifier_lexicon_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test lexicon with roles: of the tokens of :func:`lexicon_v`, those of length 3 negate, those of lengths 4 and 8 intensify or weaken."""
+    base = lexicon_v(spark, sf_dir)
+    n = F.length("token")
+    return base.select("token", "polarity", "subjectivity", F.when(n == 4, 1.5).when(n == 8, 0.5).alias("intensity"), (n == 3).alias("negates"))
+
+
 def word_vectors_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test word vectors ``(word, vec)``: corpus tokens ranked by count (desc) then token; the token of rank r
     takes ``embeddings.vec_id = r - 1`` (so only the most frequent tokens have a vector)."""
