@@ -112,15 +112,20 @@ def doc_vectors(seqs: DataFrame, vectors_by_rank: DataFrame, key: str = "id", se
 
 def text_vectors(df: DataFrame, col: str, matrix: DataFrame, dim: int, key: str = "id") -> DataFrame:
     """``(key, vec)`` as :func:`doc_vectors` of the texts' sequences, straight from the texts: tokens are looked up in the
-    embedding ``matrix(token, vec)`` and summed in one stream, without collecting a sequence in between. The
+    embedding ``matrix(token, vec)`` and summed as streams, without collecting a sequence in between. The
     partial sums leave one row for each text and task, so nothing larger is shuffled."""
     toks = df.select(key, F.explode_outer(seq_tokens(col)).alias("token"))
-    known = matrix.where(F.col("token").isNotNull()).select("token", array_to_vector(F.col("vec")).alias("_v"))
-    j = lookup_join(toks, known, "token", how="left", spread=key)
-    zero = array_to_vector(F.array_repeat(F.lit(0.0), dim))
-    sums = j.groupBy(key).agg(F.count("_v").alias("_n"), Summarizer.sum(F.coalesce(F.col("_v"), zero)).alias("_sum"))
-    mean = F.when(F.col("_n") > 0, F.transform(vector_to_array(F.col("_sum")), lambda x: x / F.col("_n")))
-    return sums.select(key, mean.alias("vec"))
+    known = matrix.where(F.col("token").isNotNull())
+    # Most tokens of a large vocabulary have no vector: their zeros count, but only vectors that aren't zero are carried and summed.
+    counts = lookup_join(toks, known.select("token", F.lit(1).alias("_in")), "token", how="left", spread=key).groupBy(key).agg(F.count("_in").alias("_n"))
+    real = known.where(F.exists("vec", lambda x: x != 0)).select("token", "vec")
+    # One sum a dimension: they stay in a hash table, where vectors as objects would be sorted with all token rows, and spilled.
+    sums = lookup_join(toks, real, "token", spread=key).groupBy(F.col(key).alias("_own")).agg(*[F.sum(F.get("vec", F.lit(i)).cast("double")).alias(f"_s{i}") for i in range(dim)])
+    sums = sums.select("_own", F.array(*[f"_s{i}" for i in range(dim)]).alias("_sum"))
+    both = counts.join(sums, F.col(key).eqNullSafe(F.col("_own")), "left")
+    total = F.coalesce(F.col("_sum"), F.array_repeat(F.lit(0.0), dim))
+    mean = F.when(F.col("_n") > 0, F.transform(total, lambda x: x / F.col("_n")))
+    return both.select(key, mean.alias("vec"))
 
 
 # ------------------------------------------------------------------ word-vector text files (#2)
