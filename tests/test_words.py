@@ -97,3 +97,13 @@ def test_odd_rows(spark):
     assert got == {1: (0, 0), None: (.63, .69), 3: (0, 0), 4: (.7, .6)}
     assert md.modified_score(df.where("false"), ["t"], lexicon(spark)).count() == 0
     assert md.modified_score(df, ["t"], lexicon(spark).where("false")).select(F.sum("polarity")).first()[0] == 0
+
+
+def test_character_class_is_exact_and_guarded(spark):
+    """Characters outside are told by the ranges that hold the groups, not by walking all ranges."""
+    from tessera.functions import text as tx
+    some = {chr(c) for c in [*range(0xBC, 0xBF), *range(0x1F1, 0x1F4), *range(0x2460, 0x2500, 2), *range(0xFB00, 0xFB07), 0xFFFC]}
+    pattern = tx._char_class(some)
+    df = spark.range(0x80, 0x10000).where("id not between 55296 and 57343").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("t"))
+    assert {r["t"] for r in df.where(F.col("t").rlike(pattern)).collect()} == some
+    assert pattern.count("&&") > 1 and pattern.startswith("[[\\x{BC}-\\x{FFFC}]&&[")
