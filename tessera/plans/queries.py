@@ -497,30 +497,29 @@ def q_embed_text(spark, sf):
 
 
 def svd_encoder(spark, sf):
-    """The essays and an encoder learned from all their text columns."""
+    """An encoder learned from all text columns of the essays, and their vectors."""
     from tessera.operators.svd import SvdEncoder
-    e = T.essays_v(spark, sf).select("id", *T.TEXT_COLS)
-    return e, SvdEncoder(dim=64).fit(e, T.TEXT_COLS)
+    return SvdEncoder(dim=64).fit_transform(T.essays_v(spark, sf).select("id", *T.TEXT_COLS), T.TEXT_COLS)
 
 
 @query("embed_text_svd")
 def q_embed_text_svd(spark, sf):
     """The seven text columns through the learned encoder (#69)."""
-    e, model = svd_encoder(spark, sf)
-    return model.transform(e, T.TEXT_COLS).select("id", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
+    _, vectors = svd_encoder(spark, sf)
+    return vectors.select("id", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
 
 
 @query("embed_text_svd_check")
 def q_embed_text_svd_check(spark, sf):
     """Every essay has a vector of seven blocks, each no longer than the unit vector that it projects (id -1: the factors are orthonormal)."""
     from tessera.operators.svd import products
-    e, model = svd_encoder(spark, sf)
+    model, vectors = svd_encoder(spark, sf)
     block = lambda i: F.aggregate(F.slice("vec", i * 64 + 1, F.lit(64)), F.lit(0.0), lambda a, x: a + x * x) <= 1 + 1e-9
     ok = (F.size("vec") == 64 * 7) & F.forall(F.sequence(F.lit(0), F.lit(6)), block)
     g = products(model.factors, 64)
     sound = bool(abs(g - np.eye(64)).max() < 1e-8 and (np.diff(model.sizes) <= 1e-9).all())
     one = spark.range(1).select(F.lit(-1).cast("long").alias("id"), F.lit(sound).alias("ok"))
-    return model.transform(e, T.TEXT_COLS).select("id", ok.alias("ok")).unionByName(one)
+    return vectors.select("id", ok.alias("ok")).unionByName(one)
 
 
 # ---------------------------------------------------------------- splits, metric, union, ensembles (#22-23, 32-33, 37-42, 77, 80-83)

@@ -53,3 +53,22 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "id long, a string")
     model = svd.SvdEncoder(dim=2).fit(df, ["a"])
     assert model.transform(df, ["a"]).count() == 0
+
+
+def test_held_factors_give_what_the_tables_give(spark, monkeypatch):
+    """The packed rows' passes, cut into small runs, against the joins; also projections, and that the joins aren't used below the bound."""
+    rnd = np.random.default_rng(7)
+    a = rnd.normal(size=(60, 15)) * (rnd.random((60, 15)) < 0.4)
+    m = matrix_of(spark, a)
+    monkeypatch.setattr(svd, "HELD", 0)
+    want, sizes = svd.truncated_svd(m, 3, iterations=2)
+    monkeypatch.undo()
+    monkeypatch.setattr(svd, "ENTRIES", 7)
+    monkeypatch.setattr(svd, "times", None)
+    got, found = svd.truncated_svd(m, 3, iterations=2)
+    assert np.allclose(found, sizes)
+    (terms, v), (same, w) = svd.held(got, 3), svd.held(want, 3)
+    assert terms == same and np.allclose(v * np.sign((v * w).sum(0)), w, atol=1e-6)
+    rows = {r["row"]: r["_v"] for r in svd.projected(svd.packed(m, terms), v).collect()}
+    b = a[:, [int(t[1:]) for t in terms]]
+    assert all(np.allclose(rows.get(str(i), np.zeros(3)), b[i] @ v) for i in range(60))
