@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.joins import lookup_join
 from tessera.operators.lexicon import rounded_scores
-from tessera.operators.ordering import co_locate
+from tessera.operators.ordering import co_locate_texts
 from tessera.session import cut_lineage
 
 #: What a negated polarity is multiplied with: "not good" is bad, but less so than "bad".
@@ -42,10 +42,11 @@ def roles(lexicon: DataFrame) -> DataFrame:
                                     F.when(scored, F.coalesce("subjectivity", F.lit(0.0)).cast("double")).alias("subjectivity"))
 
 
-def words(df: DataFrame, cols, key: str = "id") -> DataFrame:
-    """``(key, field, sent, pos, token)``: every word, lower case, with its sentence and place there. Co-located by key."""
+def words(df: DataFrame, cols, key: str = "id", by_key: bool = True) -> DataFrame:
+    """``(key, field, sent, pos, token)``: every word, lower case, with its sentence and place there. Co-located by key, unless the rows are so already."""
     fields = F.array(*[F.struct(F.lit(c).alias("field"), F.split(F.coalesce(F.col(c), F.lit("")), END, -1).alias("all")) for c in cols])
-    each = co_locate(df.select(key, *cols), key).select(key, F.inline(fields)).select(key, "field", F.posexplode("all").alias("sent", "text"))
+    docs = co_locate_texts(df.select(key, *cols), key, *cols) if by_key else df
+    each = docs.select(key, F.inline(fields)).select(key, "field", F.posexplode("all").alias("sent", "text"))
     return each.select(key, "field", "sent", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)).alias("pos", "token"))
 
 
@@ -70,8 +71,8 @@ def fold(hits: Column, reach: int) -> Column:
 
 def modified_score(df: DataFrame, cols, lexicon: DataFrame, key: str = "id", digits: int = 2, reach: int = REACH) -> DataFrame:
     """``(key, polarity, subjectivity)``: one row per input row, rounded half up."""
-    docs = co_locate(df.select(key, *cols), key)
-    hits = lookup_join(words(docs, cols, key), cut_lineage(roles(lexicon)), "token", "inner", spread=key)
+    docs = co_locate_texts(df.select(key, *cols), key, *cols)
+    hits = lookup_join(words(docs, cols, key, by_key=False), cut_lineage(roles(lexicon)), "token", "inner", spread=key)
     one = hits.groupBy(key, "field", "sent").agg(F.array_sort(F.collect_list(F.struct("pos", "negates", "factor", "polarity", "subjectivity"))).alias("hits"))
     sums = one.select(key, fold(F.col("hits"), reach).alias("s")).where("s.n > 0")
     means = sums.groupBy(key).agg((F.sum("s.polarity") / F.sum("s.n")).alias("polarity"), (F.sum("s.subjectivity") / F.sum("s.n")).alias("subjectivity"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.treebank import treebank_tokens
 from tessera.operators.joins import lookup_join
-from tessera.operators.ordering import co_locate
+from tessera.operators.ordering import co_locate_texts
 from tessera.session import cut_lineage
 
 #: Thresholds of the paper: score of an abbreviation, log-likelihood ratio of a sentence starter and of a collocation.
@@ -149,9 +149,9 @@ def _decided() -> Column:
             .otherwise(True))
 
 
-def breaks(df: DataFrame, cols, model: Model, key: str = "id") -> DataFrame:
-    """``(key, field, at)``: the place (from 0) of every token that ends a sentence and isn't the text's last. Co-located by key."""
-    p = _places(co_locate(df.select(key, *cols), key), cols, key)
+def breaks(df: DataFrame, cols, model: Model, key: str = "id", by_key: bool = True) -> DataFrame:
+    """``(key, field, at)``: the place (from 0) of every token that ends a sentence and isn't the text's last. Co-located by key, unless the rows are so already."""
+    p = _places(co_locate_texts(df.select(key, *cols), key, *cols) if by_key else df, cols, key)
     each = F.transform("toks", lambda t, i: F.struct(i.alias("at"), t["mark"], t["typ"].alias("left"), F.get("toks", i + 1)["typ"].alias("typ"),
                                                      F.get("toks", i + 1)["letter"].alias("letter")))
     ends = F.filter(each, lambda x: (x["mark"] != "none") & x["typ"].isNotNull())
@@ -166,8 +166,8 @@ def breaks(df: DataFrame, cols, model: Model, key: str = "id") -> DataFrame:
 
 def sentence_counts(df: DataFrame, cols, model: Model, key: str = "id") -> DataFrame:
     """``(key, {col}_sent_len...)``: sentences of each text, one row per input row."""
-    docs = co_locate(df.select(key, *cols), key)
-    found = breaks(docs, cols, model, key).groupBy(key).agg(*[F.count(F.when(F.col("field") == c, 1)).alias(f"_{k}") for k, c in enumerate(cols)])
+    docs = co_locate_texts(df.select(key, *cols), key, *cols)
+    found = breaks(docs, cols, model, key, by_key=False).groupBy(key).agg(*[F.count(F.when(F.col("field") == c, 1)).alias(f"_{k}") for k, c in enumerate(cols)])
     own = docs.select(F.col(key).alias("_own"), *[(F.coalesce(F.col(c), F.lit("")).rlike(r"[^ \t\n\f\r]")).cast("int").alias(f"_has{k}") for k, c in enumerate(cols)])
     both = own.join(found, own["_own"].eqNullSafe(found[key]), "left")
     return both.select(F.col("_own").alias(key), *[(F.col(f"_has{k}") + F.coalesce(F.col(f"_{k}"), F.lit(0))).cast("int").alias(f"{c}_sent_len") for k, c in enumerate(cols)])
@@ -175,8 +175,8 @@ def sentence_counts(df: DataFrame, cols, model: Model, key: str = "id") -> DataF
 
 def split_sentences(df: DataFrame, cols, model: Model, key: str = "id") -> DataFrame:
     """``(key, field, sentences array<string>)``: each text's sentences in order, their tokens joined by one space."""
-    docs = co_locate(df.select(key, *cols), key)
-    found = breaks(docs, cols, model, key).groupBy(key, "field").agg(F.array_sort(F.collect_list("at")).alias("ends"))
+    docs = co_locate_texts(df.select(key, *cols), key, *cols)
+    found = breaks(docs, cols, model, key, by_key=False).groupBy(key, "field").agg(F.array_sort(F.collect_list("at")).alias("ends"))
     fields = F.array(*[F.struct(F.lit(c).alias("f"), F.regexp_extract_all(F.coalesce(F.col(c), F.lit("")), F.lit(TOKEN), 0).alias("all")) for c in cols])
     own = docs.select(F.col(key).alias("_own"), F.inline(fields))
     both = own.join(found, own["_own"].eqNullSafe(found[key]) & (own["f"] == found["field"]), "left")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import lookup_join
-from tessera.operators.ordering import co_locate, global_row_number
+from tessera.operators.ordering import co_locate, co_locate_texts, global_row_number
 
 # The filter characters of the sequence tokenizer (replaced by a space before splitting).
 SEQUENCE_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
@@ -51,7 +51,7 @@ def token_sequences(df: DataFrame, col: str, vocab: DataFrame, num_words: int |
 
     Texts are co-located by key first, so the exploded tokens, the lookup and the ordered collection per
     text stay inside one partition (an outer explode keeps texts without tokens, no join back needed)."""
-    docs = co_locate(df.select(key, col), key)
+    docs = co_locate_texts(df.select(key, col), key, col)
     toks = docs.select(key, F.posexplode_outer(seq_tokens(col)).alias("pos", "token"))
     v = vocab.select("token", "rank")
     if num_words is not None:

@@ -17,7 +17,7 @@ from tessera.functions import text as tx
 from tessera.functions.calendar import calendar_labels
 from tessera.functions.nulls import null_fill
 from tessera.operators import lexicon as lx
-from tessera.operators.ordering import co_locate
+from tessera.operators.ordering import co_locate_texts
 from tessera.operators.rollup import project_enrich, resource_rollup
 
 TEXT_COLS = ["project_title", "project_essay_1", "project_essay_2", "project_essay_3",
@@ -48,7 +48,7 @@ def text_features(df: DataFrame, lexicon: DataFrame | None = None, key: str = "i
     present = [c for c in text_cols if c in df.columns]
     d = null_fill(df, {c: "" for c in present})
     if lexicon is not None:  # the lexicon scores aggregate per key and join back inside the partition
-        d = co_locate(d, key)
+        d = co_locate_texts(d, key, *present)
     d = d.withColumns({**{f"{c}_sent_len": tx.sentence_count(c) for c in essays},
                        **{f"{c}_word_len": tx.word_count(c) for c in essays}})
     d = d.withColumns({c: tx.clean_text(c) for c in present})
@@ -58,7 +58,7 @@ def text_features(df: DataFrame, lexicon: DataFrame | None = None, key: str = "i
     pairs = [(a, b) for i, a in enumerate(present[:-1]) for b in present[i + 1:]]
     d = d.withColumns({f"{a}_{b}_common": tx.pairwise_overlap_count(a, b) for a, b in pairs})
     if lexicon is not None:
-        means = lx.lexicon_means(d, essays, lexicon, key=key, cleaned=True)
+        means = lx.lexicon_means(d, essays, lexicon, key=key, cleaned=True, by_key=False)
         d = d.join(means, key, "left")
         d = d.select(*[c for c in d.columns if c not in ("polarity", "subjectivity")], *lx.rounded_scores())
     if "teacher_prefix" in d.columns:

@@ -37,3 +37,27 @@ def test_text_vectors_sum_only_tokens_with_a_vector(spark):
     assert got == {1: [4 / 3, 1 / 3], 2: [0.0, 0.0], 3: None, 4: None, None: [1.0, 2.0], 5: [5 / 3, 1.0]}
     joins_of_vectors = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "exists" in line]
     assert joins_of_vectors
+
+
+def test_texts_are_dealt_by_their_bytes(spark, monkeypatch):
+    """Partitions follow the size of the texts, nulls and repeated keys included, so that tasks don't grow with the corpus."""
+    from tessera.operators import ordering
+    from tessera.operators import tfidf
+    monkeypatch.setattr(ordering, "TEXT_BYTES", 100)
+    df = spark.createDataFrame([(i % 50, "some words of a text " * (i % 4)) for i in range(200)] + [(None, "a b"), (3, None)], "id long, t string")
+    dealt = ordering.co_locate_texts(df, "id", "t")
+    assert dealt.rdd.getNumPartitions() == 1 + (200 // 4 * 6 * 21 + 3) // 100
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, df.collect()))
+    counts = tfidf.stopword_ngrams(df, "t", 1, 1, stop=[])
+    assert counts.rdd.getNumPartitions() > 50  # the sums are made where the texts lie
+    assert counts.where("term = 'text' and id = 3").first()["tf"] == sum(i % 4 for i in range(200) if i % 50 == 3)
+
+
+def test_tokens_are_looked_up_without_sums_by_document_and_token(spark):
+    from tessera.operators import lexicon as lx
+    toks = spark.createDataFrame([(1, "f", 0, "a"), (1, "f", 1, "a"), (1, "f", 2, "z"), (2, "g", 0, "b"), (None, "g", 0, "a")], "id long, field string, pos int, token string")
+    lex = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "token string, class int")
+    df = lx.token_class_counts(toks, lex, unknown="none")
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([(1, "f", "1", 2), (1, "f", "2", 2), (1, "f", "none", 1), (2, "g", "1", 1), (None, "g", "1", 1), (None, "g", "2", 1)], key=str)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Aggregate [" in line for line in plan.splitlines()) == 1, plan
