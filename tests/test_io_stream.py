@@ -1,10 +1,11 @@
 """Sources, sinks and the streaming wrapper."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_dir
+from tessera.session import FILE_CLEANUP, cut_lineage, scratch_dir
 from tessera.sources import files as fs
 from tessera.operators import vocab as vc
 from tessera.streaming import scoring
@@ -64,3 +65,20 @@ def test_blend_stream_static_join(spark):
     q.awaitTermination(120)
     r = spark.read.parquet(out).agg((F.sum(F.col("w") * F.col("score")) / F.sum("w")).alias("s")).first()
     assert abs(r["s"] - 0.35) < 1e-12
+
+
+def shuffle_files(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (held.apply(k).getName() for k in range(held.size())) if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_cut_lineage_leaves_no_shuffle_files(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(FILE_CLEANUP, None)
+    made = cut_lineage(spark.range(5000).groupBy((F.col("id") % 50).alias("k")).count())
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert {r["k"]: r["count"] for r in made.collect()} == {k: 100 for k in range(50)}
+    assert spark.conf.get(FILE_CLEANUP, None) == setting
