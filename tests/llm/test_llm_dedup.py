@@ -129,6 +129,14 @@ def test_line_dedup_in_rounds(spark, monkeypatch):
     check_lines(spark, docs, bands=6, rows=1, shingle=2, threshold=0.8)
 
 
+def test_groups_of_the_same_lines_are_compared_once(spark):
+    """Tokens 1 to 3 hold the same lines, 4 has one less, 5 another one, 6 one component, 7 the lines of 5."""
+    sets = {1: (10, 11, 12), 2: (12, 10, 11), 3: (10, 11, 12), 4: (10, 11), 5: (10, 13), 6: (11, 12), 7: (13, 10)}
+    at = {10: 10, 11: 11, 12: 11, 13: 13}
+    groups = spark.createDataFrame([(t, i, at[i]) for t, ids in sets.items() for i in ids], "token long, id long, component long")
+    assert sorted(r["token"] for r in linededup.open_groups(groups).collect()) == [1, 4, 5]
+
+
 def test_line_dedup_of_large_groups_and_edges(spark):
     docs = [(k, f"{v}\nown line of document {k * 7919} and more {k * 104729}") for k, v in enumerate(variants(60, 1) + variants(40, 2))]
     docs += [(1000 + k, "common line\n\n  common line \r\nshort") for k in range(50)]
