@@ -137,6 +137,23 @@ def test_groups_of_the_same_lines_are_compared_once(spark):
     assert sorted(r["token"] for r in linededup.open_groups(groups).collect()) == [1, 4, 5]
 
 
+def test_pairs_of_a_prefix_group_follow_places(spark):
+    """Lines that share passages but have shingles of their own are paired by few of their common tokens; all links are among the pairs."""
+    rnd = random.Random(12)
+    base = "".join(rnd.choice("abcdefghij") for _ in range(130))
+    texts = [base[:50] + f"{k:08d}" + base[58:] + f"{k * 7919:09d}" for k in range(24)]
+    texts += [t[:128] + "z" + t[129:] for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    groups = linededup.prefixes(df, 8, 0.8)
+    other = groups.select("token", F.col("id").alias("other"), F.col("n").alias("m"), F.col("i").alias("j"))
+    both = groups.join(other, "token").where("id < other")
+    made = [(r["id"], r["other"]) for r in both.where(linededup.may_reach(0.8)).collect()]
+    sets = [{t[k : k + 8] for k in range(len(t) - 7)} for t in texts]
+    near = {(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(near) >= 24 and near <= set(made)
+    assert len(made) < 0.3 * both.count()
+
+
 def test_line_dedup_of_large_groups_and_edges(spark):
     docs = [(k, f"{v}\nown line of document {k * 7919} and more {k * 104729}") for k, v in enumerate(variants(60, 1) + variants(40, 2))]
     docs += [(1000 + k, "common line\n\n  common line \r\nshort") for k in range(50)]
