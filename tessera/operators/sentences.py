@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.treebank import treebank_tokens
-from tessera.operators.joins import lookup_join
+from tessera.operators.joins import broadcastable, lookup_join
 from tessera.operators.ordering import co_locate_texts
 from tessera.session import cut_lineage
 
@@ -32,8 +32,11 @@ from tessera.session import cut_lineage
 ABBREVIATION, STARTER, COLLOCATION = 0.3, 30.0, 7.88
 TOKEN = r"[^ \t\n\f\r]+"
 #: Quotes, brackets and emphasis around a token; what closes may stand behind the punctuation that ends a sentence.
-OPENING, CLOSING = r"""^["'(\[{«“‘„¿¡*_]+""", r"""["')\]}»”’*_]+\z"""
-NUMBER = r"^[+-]?[.,]?[0-9][0-9.,-]*\z"
+OPENING, CLOSING = r"""["'(\[{«“‘„¿¡*_]""", r"""["')\]}»”’*_]"""
+PUNCTUATION = r"[.!?…,;:]"
+NUMBER = r"[+-]?[.,]?[0-9][0-9.,-]*+"
+#: What follows a token in a text whose tokens stand one space apart.
+BEHIND = "(?![^ ])"
 
 
 class Model(NamedTuple):
@@ -45,31 +48,53 @@ class Model(NamedTuple):
     collocations: DataFrame
 
 
+def _trailing(chars: str) -> str:
+    """Every such character at the end of a token; a run is only looked at from its start."""
+    return f"{chars}(?<!{chars}{chars}){chars}*+{BEHIND}"
+
+
 def _places(df: DataFrame, cols, key: str) -> DataFrame:
-    """``(key, field, toks)``: for each text its tokens as structs. ``mark`` is ``stop`` (one full stop), ``dots`` (an ellipsis), ``end`` (``!``,
-    ``?`` or a full stop that stands alone) or ``none``; ``letter`` the case of the first character."""
+    """``(key, field, text, cores)``: for each text that has tokens these without what opens and closes around them, as one text and as an array. Each rule is one
+    pass over the text, whose tokens stand one space apart: a token that gets empty leaves its two spaces."""
     fields = F.array(*[F.struct(F.lit(c).alias("field"), F.coalesce(F.col(c), F.lit("")).alias("text")) for c in cols])
-    each = df.select(key, F.inline(fields))
-    core = lambda t: F.regexp_replace(F.regexp_replace(t, OPENING, ""), CLOSING, "")
-    each = each.select(key, "field", F.transform(F.regexp_extract_all("text", F.lit(TOKEN), 0), core).alias("cores"))
+    spaced = F.trim(F.regexp_replace("text", r"[\t\n\f\r][ \t\n\f\r]*+| [ \t\n\f\r]++", " "))
+    each = df.select(key, F.inline(fields)).select(key, "field", spaced.alias("text")).where("text <> ''")
+    core = F.regexp_replace(F.regexp_replace("text", f"{OPENING}(?<![^ ]{OPENING}){OPENING}*+", ""), _trailing(CLOSING), "")
+    return each.select(key, "field", core.alias("text")).select(key, "field", "text", F.split("text", " ", -1).alias("cores"))
+
+
+def _typ(text: Column) -> Column:
+    """The types of a text's tokens, or of one: without punctuation, lower case; numbers are one type."""
+    low = F.lower(F.regexp_replace(text, _trailing(PUNCTUATION), ""))
+    return F.regexp_replace(low, f"(?=[0-9.,+-])(?<![^ ]){NUMBER}{BEHIND}", "##")
+
+
+def _ends(core: Column) -> Column:
+    """Whether a token has a mark."""
+    return core.endswith(".") | core.endswith("!") | core.endswith("?") | core.endswith("…")
+
+
+def _mark(core: Column) -> Column:
+    """``stop`` (one full stop), ``dots`` (an ellipsis), ``end`` (``!``, ``?`` or a full stop that stands alone) or ``none``."""
+    return (F.when(~_ends(core), "none").when(core.rlike(r"[!?][.!?]*\z") | (core == "."), "end").when(core.rlike(r"\.\.\z|…\z"), "dots")
+            .when(core.rlike(r"\.\z"), "stop").otherwise("none"))
 
-    def described(c: Column) -> Column:
-        mark = (F.when(c.rlike(r"[!?][.!?]*\z") | (c == "."), "end").when(c.rlike(r"\.\.\z|…\z"), "dots")
-                .when(c.rlike(r"\.\z"), "stop").otherwise("none"))
-        letter = F.when(c.rlike(r"^\p{Lu}"), "u").when(c.rlike(r"^\p{Ll}"), "l").otherwise("o")
-        typ = F.lower(F.regexp_replace(c, r"[.!?…,;:]+\z", ""))
-        return F.struct(F.when(typ.rlike(NUMBER), "##").otherwise(typ).alias("typ"), mark.alias("mark"), letter.alias("letter"))
 
-    return each.select(key, "field", F.transform("cores", described).alias("toks"))
+def _letter(core: Column) -> Column:
+    """The case of the first character; that of the common ones by comparison."""
+    return (F.when((core >= "a") & (core < "{"), "l").when((core >= "A") & (core < "["), "u").when(core < "\u0080", "o")
+            .when(core.rlike(r"^\p{Lu}"), "u").when(core.rlike(r"^\p{Ll}"), "l").otherwise("o"))
 
 
 def observations(df: DataFrame, cols, key: str = "id") -> DataFrame:
     """``(typ, mark, letter, before, left, n)``: how often a type occurs with a mark and a case behind a neighbour whose mark is ``before``
     (``start`` at the start of a text) and, where that is a full stop, whose type is ``left``."""
-    p = _places(df, cols, key)
-    with_left = F.transform("toks", lambda t, i: F.struct(t["typ"], t["mark"], t["letter"], F.coalesce(F.get("toks", i - 1)["mark"], F.lit("start")).alias("before"),
-                                                          F.when(F.get("toks", i - 1)["mark"] == "stop", F.get("toks", i - 1)["typ"]).alias("left")))
-    one = p.select(F.inline(with_left)).toDF("typ", "mark", "letter", "before", "left")
+    earlier = lambda c: F.concat(F.array(F.lit(None).cast("string")), F.slice(c, F.lit(1), F.size(c) - 1)).alias(f"_{c}")
+    p = _places(df, cols, key).select("cores", F.split(_typ(F.col("text")), " ", -1).alias("typs"))
+    one = p.select(F.inline(F.arrays_zip("typs", "cores", earlier("typs"), earlier("cores")))).toDF("typ", "core", "left", "_core")
+    before = F.when(F.col("_core").isNull(), "start").otherwise(_mark(F.col("_core")))
+    one = one.select("typ", _mark(F.col("core")).alias("mark"), _letter(F.col("core")).alias("letter"), before.alias("before"), "left")
+    one = one.withColumn("left", F.when(F.col("before") == "stop", F.col("left")))
     return cut_lineage(one.groupBy("typ", "mark", "letter", "before", "left").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -152,10 +177,12 @@ def _decided() -> Column:
 def breaks(df: DataFrame, cols, model: Model, key: str = "id", by_key: bool = True) -> DataFrame:
     """``(key, field, at)``: the place (from 0) of every token that ends a sentence and isn't the text's last. Co-located by key, unless the rows are so already."""
     p = _places(co_locate_texts(df.select(key, *cols), key, *cols) if by_key else df, cols, key)
-    each = F.transform("toks", lambda t, i: F.struct(i.alias("at"), t["mark"], t["typ"].alias("left"), F.get("toks", i + 1)["typ"].alias("typ"),
-                                                     F.get("toks", i + 1)["letter"].alias("letter")))
-    ends = F.filter(each, lambda x: (x["mark"] != "none") & x["typ"].isNotNull())
-    one = p.select(key, "field", F.inline(ends)).toDF(key, "field", "at", "mark", "left", "typ", "letter")
+    later = F.slice("cores", F.lit(2), F.size("cores") - 1).alias("next")
+    each = p.select(key, "field", F.posexplode(F.arrays_zip("cores", later)).alias("at", "t")).where(F.col("t.next").isNotNull() & _ends(F.col("t.cores")))
+    one = each.select(key, "field", "at", _mark(F.col("t.cores")).alias("mark"), _typ(F.col("t.cores")).alias("left"), _typ(F.col("t.next")).alias("typ"),
+                      _letter(F.col("t.next")).alias("letter"))
+    if not broadcastable(model.types):
+        one = cut_lineage(one)  # a look-up of many types goes over the places three times
     one = lookup_join(one, model.abbreviations.select(F.col("typ").alias("left"), F.lit(True).alias("short")), "left", "left", spread=key)
     one = lookup_join(one, model.types, "typ", "left", spread=key)
     one = lookup_join(one, model.collocations.withColumn("bound", F.lit(True)), ["left", "typ"], "left", spread=key)

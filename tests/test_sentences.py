@@ -1,7 +1,10 @@
 """Learned sentence boundaries: hand-made texts, and a plain version of the statistics."""
 
+import collections
 import math
 import random
+import re
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -108,3 +111,35 @@ def test_salted_and_broadcast_joins_agree(spark, model, monkeypatch):
     near = sorted(map(tuple, st.breaks(df, ["t"], model).collect()))
     monkeypatch.setattr("tessera.operators.joins.broadcastable", lambda *a, **k: False)
     assert sorted(map(tuple, st.breaks(df, ["t"], model).collect())) == near and near
+
+
+def test_passes_over_a_text_keep_the_rules_of_its_tokens(spark):
+    """Cores, types, marks and cases of odd tokens as each token has them by itself."""
+    r = random.Random(8)
+    toks = ["".join(r.choice("aZ9.,!?…;:'\"([{)]}*_«»“”¿éÉßΣİ+-\x0b ") for _ in range(r.randint(1, 6))) for _ in range(900)]
+    texts = [r.choice(["", " ", "\n"]) + "".join(t + r.choice([" ", "  ", "\t", "\r\n"]) for t in toks[i : i + 9]) for i in range(0, 900, 9)] + ["", " \n", '"', "((( ***"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+
+    def rules(t):
+        core = re.sub(r"""["')\]}»”’*_]+\Z""", "", re.sub(r"""^["'(\[{«“‘„¿¡*_]+""", "", t))
+        typ = re.sub(r"[.!?…,;:]+\Z", "", core).lower()
+        typ = "##" if re.fullmatch(r"[+-]?[.,]?[0-9][0-9.,-]*", typ) else typ
+        mark = "end" if re.search(r"[!?][.!?]*\Z", core) or core == "." else "dots" if re.search(r"\.\.\Z|…\Z", core) else "stop" if core.endswith(".") else "none"
+        kind = unicodedata.category(core[0]) if core else ""
+        return typ, mark, {"Lu": "u", "Ll": "l"}.get(kind, "o")
+
+    want = collections.Counter()
+    for t in texts:
+        before = ("", "start", "")
+        for tok in re.findall(r"[^ \t\n\f\r]+", t):
+            now = rules(tok)
+            want[(*now, before[1], before[0] if before[1] == "stop" else None)] += 1
+            before = now
+    got = {(x["typ"], x["mark"], x["letter"], x["before"], x["left"]): x["n"] for x in st.observations(df, ["t"]).collect()}
+    assert got == want
+
+
+def test_tokens_are_not_worked_on_one_by_one_in_arrays(spark, model):
+    """A regex in a lambda over an array of tokens runs outside compiled code, several for every token."""
+    df = spark.createDataFrame([(1, "He waits. She reads.")], "id int, t string")
+    assert "lambda" not in st.breaks(df, ["t"], model)._jdf.queryExecution().optimizedPlan().toString()
