@@ -172,9 +172,12 @@ def embed_text(df: DataFrame, cols, encoder=None, dim: int = 64, key: str = "id"
         per_col = sums.groupBy(key, "col").agg(F.collect_list(F.when(F.col("_s").isNotNull(), F.struct("_s", "_v"))).alias("_e"),
                                                F.sqrt(F.sum(F.when(F.col("_s").isNotNull(), F.col("_v") * F.col("_v")))).alias("_l2"))
         scaled = F.transform("_e", lambda x: F.struct(x["_s"].alias("_s"), F.when(F.col("_l2") > 0, x["_v"] / F.col("_l2")).otherwise(0.0).alias("_v")))
-        # At most ``dim`` entries per column: the collected lists are bounded by the vector they become.
-        rows = per_col.select(key, scaled.alias("_e")).groupBy(key).agg(F.map_from_entries(F.flatten(F.collect_list("_e"))).alias("_m"))
-        dense = F.transform(F.sequence(F.lit(0), F.lit(dim * len(cols) - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0)))
+        # At most ``dim`` entries per column: the collected lists are bounded by the vector they become. Zeros are set between the entries in order of
+        # slot; a look-up of every slot in a map would go through all entries each time.
+        rows = per_col.select(key, scaled.alias("_e")).groupBy(key).agg(F.array_sort(F.flatten(F.collect_list("_e"))).alias("_e"))
+        place = lambda i: F.coalesce(F.get("_e", i)["_s"], F.lit(-1))
+        filled = F.transform("_e", lambda x, i: F.concat(F.array_repeat(F.lit(0.0), x["_s"] - place(i - 1) - 1), F.array(x["_v"])))
+        dense = F.flatten(F.concat(filled, F.array(F.array_repeat(F.lit(0.0), dim * len(cols) - 1 - place(F.size("_e") - 1)))))
         return rows.select(key, dense.alias(out))
     from pyspark.sql.functions import pandas_udf
 

@@ -1,5 +1,6 @@
 """Hand-made cases for joins that keep rows, size checks, thresholds, encoders, scratch folders and the feature pipeline."""
 
+import hashlib
 import math
 
 import pytest
@@ -136,3 +137,21 @@ def test_feature_pipeline_on_unseen_rows(spark):
     assert dict(zip(map(int, vec[9].indices), vec[9].values)) == pytest.approx({6: 2 / 3, 9: 1.0, 10: 2.0, 11: 4.0})
     seen = {r["id"]: r["features"] for r in model.vectors(train, ("y",)).collect()}
     assert sum(v * v for i, v in zip(seen[1].indices, seen[1].values) if i < 4) == pytest.approx(1)
+
+
+def test_hashed_vectors_are_not_looked_up_slot_by_slot(spark):
+    """All slots in order, for rows with no, few and many tokens, without a map that each slot goes through."""
+    docs = spark.createDataFrame([(1, "apple pear apple", None), (2, None, None), (3, " ".join(f"word{i}x" for i in range(300)), "plum"), (None, "", "fig figs figs")], "id int, a string, b string")
+    df = vc.embed_text(docs, ["a", "b"], dim=16)
+    got = {r["id"]: list(r["vec"]) for r in df.collect()}
+    for i, *texts in docs.collect():
+        want = []
+        for text in texts:
+            v = [0.0] * 16
+            for tok in (t for t in (text or "").split() if len(t) > 2):
+                h = hashlib.md5(tok.encode()).hexdigest()
+                v[int(h[:8], 16) % 16] += 1.0 if h[8] < "8" else -1.0
+            n = math.sqrt(sum(x * x for x in v))
+            want += [x / n if n else 0.0 for x in v]
+        assert got[i] == want
+    assert "element_at" not in df._jdf.queryExecution().optimizedPlan().toString()
